@@ -36,22 +36,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     deployment in ``spark.checkpoint.dir``; the temporary fallback exists
     for local tests only.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir()
+    if d:
+        return d
+    d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="nb-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+        d = tempfile.mkdtemp(prefix="nb-ckpt-")  # unset: local tests only
+    sc.setCheckpointDir(d)
     return d
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "needbridge",
-                  extra: dict | None = None) -> SparkSession:
+                  extra: dict | None = None, checkpoint_dir: str | None = None) -> SparkSession:
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "8g"))
+    if checkpoint_dir:
+        b = b.config("spark.checkpoint.dir", checkpoint_dir)
     for k, v in {**CORE_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
