@@ -75,7 +75,7 @@ def main():
         "milestone_by_screened": lambda s: ops.milestone_by_screened(
             s.int_member_screenings, window=DRIVER_WINDOW),
         "followup_after_range": lambda s: ops.gap_after_screening(
-            s.int_member_screenings, s.stg_services),
+            s.int_member_screenings, s.stg_services, counts_from=s.member_activity),
         "risk_from_members": lambda s: ops.risk_from_members(
             s.stg_members, s.int_renewal_hrsn, s.int_member_screenings),
         "gap_grouping_sets": lambda s: ops.gap_rollup(s.int_service_linkage),

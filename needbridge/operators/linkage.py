@@ -102,6 +102,7 @@ def first_followup_after(
     method: str = "window",
     hot_key_rows: int | None = DEFAULT_HOT_ROWS,
     num_chunks: int | None = None,
+    counts_from: DataFrame | None = None,
 ) -> DataFrame:
     """Per event group: earliest ``follow_ts`` of the same entity on/after ``ts``.
 
@@ -111,6 +112,8 @@ def first_followup_after(
     takes a running minimum in reverse date order: one shuffle on the entity,
     no pair is ever formed, and the grouping afterwards reuses the entity
     partitioning.  An event with a null date never matches (SQL ``>=``).
+    ``counts_from``: a cheaper superset of both inputs' entity column to
+    find hot entities on (e.g. the staged tables, one narrow scan each).
     """
     group = list(group)
     if ts not in group or entity not in group:
@@ -124,7 +127,7 @@ def first_followup_after(
     if hot_key_rows is None:
         scanned = _suffix_min_plain(u, entity)
     else:
-        cold, hot = split_hot(u, entity, hot_key_rows)
+        cold, hot = split_hot(u, entity, hot_key_rows, counts_from)
         scanned = _suffix_min_plain(cold, entity)
         if hot is not None:
             n = num_chunks or default_chunks(u)

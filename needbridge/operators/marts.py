@@ -171,6 +171,7 @@ def gap_after_screening(
     method: str = "window",
     hot_key_rows: int | None = None,
     num_chunks: int | None = None,
+    counts_from: DataFrame | None = None,
 ) -> DataFrame:
     """README gap variant (T15): any service of the member on/after the date.
 
@@ -179,7 +180,8 @@ def gap_after_screening(
     """
     ev = member_screenings.where(c("hrsn_flag"))
     kw = {} if hot_key_rows is None else {"hot_key_rows": hot_key_rows}
-    linked = first_followup_after(ev, services, method=method, num_chunks=num_chunks, **kw)
+    linked = first_followup_after(ev, services, method=method, num_chunks=num_chunks,
+                                  counts_from=counts_from, **kw)
     late = c("first_service_date").isNull() | (
         F.datediff(c("first_service_date"), c("screening_date")) > sla_days)
     agg = linked.groupBy(*group).agg(

@@ -140,7 +140,8 @@ def gap_grouping_sets(spark, d):
 @query
 def followup_after_range(spark, d):
     s = stages(spark, d)
-    return ops.gap_after_screening(s.int_member_screenings, s.stg_services, method="window")
+    return ops.gap_after_screening(s.int_member_screenings, s.stg_services, method="window",
+                                   counts_from=s.member_activity)
 
 
 @query
@@ -153,7 +154,8 @@ def followup_after_join(spark, d):
 def followup_hot_split(spark, d):
     s = stages(spark, d)
     ev = s.int_member_screenings.where(F.col("hrsn_flag"))
-    return ops.first_followup_after(ev, s.stg_services, hot_key_rows=SPLIT_TEST_ROWS)
+    return ops.first_followup_after(ev, s.stg_services, hot_key_rows=SPLIT_TEST_ROWS,
+                                    counts_from=s.member_activity)
 
 
 @query

@@ -93,6 +93,13 @@ class Stages:
     def mart_renewal_hrsn_risk(self) -> DataFrame:
         return risk_intersection(self.int_renewal_hrsn, self.stg_members)
 
+    @cached_property
+    def member_activity(self) -> DataFrame:
+        """member_id of every staged screening and service: the cheap
+        superset on which hot members are counted."""
+        return self.stg_screenings.select("member_id").unionByName(
+            self.stg_services.select("member_id"))
+
     STAGING = ("stg_members", "stg_screenings", "stg_services", "stg_renewals")
     INTERMEDIATE = ("int_screenings_deduped", "int_member_screenings",
                     "int_service_linkage", "int_renewal_hrsn")
