@@ -14,19 +14,13 @@ from pyspark.sql import functions as F
 
 from needbridge import operators as ops
 from needbridge.operators import quality as dq
-from needbridge.operators.reporting import (
-    cohort_counts,
-    eligible_cohort,
-    table_summary,
-    top_k,
-    with_age,
-)
-from needbridge.operators.sampling import sample_share, stratified_sample
+from needbridge.operators import reporting as rep
+from needbridge.operators import sampling as smp
 from needbridge.plans.stages import Stages
 from needbridge.schemas import NEED_TYPES
 from needbridge.sources import driver
 from needbridge.sources.lookup import lookup
-from needbridge.sources.raw import merge_submissions
+from needbridge.sources import raw as rawsrc
 
 # Milestone window for the driver data (its order dates span 1995–2001).
 DRIVER_WINDOW = ("1997-01-01", "1997-03-31")
@@ -111,14 +105,14 @@ def milestone_by_screened(spark, d):
 
 
 @query
-def share_of_total_by_county(spark, d):
+def share_of_total(spark, d):
     ms = stages(spark, d).int_member_screenings
     vol = ms.groupBy("county").agg(F.count(F.lit(1)).alias("screenings"))
     return ops.share_of_total(vol, "screenings", "pct_of_screenings")
 
 
 @query
-def gap_index_mart(spark, d):
+def gap_index(spark, d):
     return stages(spark, d).mart_service_gap_index
 
 
@@ -159,12 +153,12 @@ def followup_hot_split(spark, d):
 
 
 @query
-def risk_intersection_mart(spark, d):
+def risk_intersection(spark, d):
     return stages(spark, d).mart_renewal_hrsn_risk
 
 
 @query
-def risk_from_members_readme(spark, d):
+def risk_from_members(spark, d):
     s = stages(spark, d)
     return ops.risk_from_members(s.stg_members, s.int_renewal_hrsn, s.int_member_screenings)
 
@@ -183,13 +177,13 @@ def risk_by_member_grain(spark, d):
 
 @query
 def top10_gap(spark, d):
-    return top_k(stages(spark, d).mart_service_gap_index, "service_gap_rate_pct", 10,
+    return rep.top_k(stages(spark, d).mart_service_gap_index, "service_gap_rate_pct", 10,
                  ["county", "scn_region", "primary_need_type"])
 
 
 @query
 def top10_risk(spark, d):
-    return top_k(stages(spark, d).mart_renewal_hrsn_risk, "high_risk_rate_pct", 10,
+    return rep.top_k(stages(spark, d).mart_renewal_hrsn_risk, "high_risk_rate_pct", 10,
                  ["county", "scn_region", "race_ethnicity"])
 
 
@@ -262,45 +256,45 @@ def region_lookup(spark, d):
 
 @query
 def cohort_eligible(spark, d):
-    return eligible_cohort(driver.screenings(spark, d)).select(
+    return rep.eligible_cohort(driver.screenings(spark, d)).select(
         "screening_id", "member_id", "scn_region", "screening_date", "primary_need_type")
 
 
 @query
 def cohort_skipped(spark, d):
-    return cohort_counts(driver.screenings(spark, d))
+    return rep.cohort_counts(driver.screenings(spark, d))
 
 
 @query
 def age_years(spark, d):
-    return with_age(stages(spark, d).stg_members, AS_OF).select(
+    return rep.with_age(stages(spark, d).stg_members, AS_OF).select(
         "member_id", "date_of_birth", "age_years")
 
 
 @query
-def merge_submissions_batches(spark, d):
+def merge_submissions(spark, d):
     first, again = driver.screening_batches(spark, d)
-    return merge_submissions(first, again, batch_col="submission_batch").select(
+    return rawsrc.merge_submissions(first, again, batch_col="submission_batch").select(
         "screening_id", "screening_date", "screener_role", "submission_batch")
 
 
 @query
-def table_summary_screenings(spark, d):
-    return table_summary(stages(spark, d).stg_screenings,
+def table_summary(spark, d):
+    return rep.table_summary(stages(spark, d).stg_screenings,
                          ["hrsn_flag", "invalid_tool_flag", "null_date_flag"],
                          ["scn_region", "screening_tool", "primary_need_type"])
 
 
 # --- sampling (rows-only check: the key hash has no SQL twin) -------------
 @query
-def stratified_sample_members(spark, d):
+def stratified_sample(spark, d):
     m = stages(spark, d).stg_members
-    return stratified_sample(m, "risk_tier", SAMPLE_RATES, "member_id")
+    return smp.stratified_sample(m, "risk_tier", SAMPLE_RATES, "member_id")
 
 
 @query
-def sample_share_screenings(spark, d):
-    return sample_share(stages(spark, d).stg_screenings, 0.02, "screening_id")
+def sample_share(spark, d):
+    return smp.sample_share(stages(spark, d).stg_screenings, 0.02, "screening_id")
 
 
 def queries() -> dict[str, Query]:

@@ -425,11 +425,11 @@ def oracle_sql() -> dict[str, str]:
                          AS members_with_need
               FROM int_member_screenings GROUP BY scn_region) t
         ORDER BY pct_of_state_total DESC NULLS LAST, scn_region""", "int_member_screenings")
-    q["share_of_total_by_county"] = build("""
+    q["share_of_total"] = build("""
         SELECT county, COUNT(*) AS screenings,
                ROUND(COUNT(*) * 100.0 / NULLIF(SUM(COUNT(*)) OVER (), 0), 2) AS pct_of_screenings
         FROM int_member_screenings GROUP BY county""", "int_member_screenings")
-    q["gap_index_mart"] = build("SELECT * FROM mart_service_gap_index", "mart_service_gap_index")
+    q["gap_index"] = build("SELECT * FROM mart_service_gap_index", "mart_service_gap_index")
     q["gap_by_need"] = build(
         _gap_select("primary_need_type") + " GROUP BY primary_need_type", "int_service_linkage")
     q["gap_by_county"] = build("SELECT * FROM gap_by_county", "gap_by_county")
@@ -452,9 +452,9 @@ def oracle_sql() -> dict[str, str]:
     q["followup_after_range"] = build(gap_after, "followup_groups")
     q["followup_after_join"] = q["followup_after_range"]
     q["followup_hot_split"] = build("SELECT * FROM followup_groups", "followup_groups")
-    q["risk_intersection_mart"] = build("SELECT * FROM mart_renewal_hrsn_risk",
+    q["risk_intersection"] = build("SELECT * FROM mart_renewal_hrsn_risk",
                                         "mart_renewal_hrsn_risk")
-    q["risk_from_members_readme"] = build("""
+    q["risk_from_members"] = build("""
         SELECT m.county, m.race_ethnicity,
                COUNT(DISTINCT m.member_id) AS total_members,
                CAST(SUM(CASE WHEN r.renewal_outcome = 'Disenrolled' THEN 1 ELSE 0 END) AS BIGINT)
@@ -558,10 +558,10 @@ def oracle_sql() -> dict[str, str]:
                CAST(FLOOR(DATE_DIFF('day', date_of_birth, DATE '{AS_OF}') / 365) AS INTEGER)
                    AS age_years
         FROM stg_members""", "stg_members")
-    q["merge_submissions_batches"] = build("""
+    q["merge_submissions"] = build("""
         SELECT screening_id, screening_date, screener_role, CAST(batch AS INTEGER) AS submission_batch
         FROM src_screenings""", "src_screenings")
-    q["table_summary_screenings"] = build("""
+    q["table_summary"] = build("""
         SELECT COUNT(*) AS row_count,
                AVG(CAST(hrsn_flag AS INTEGER)) AS hrsn_flag_rate,
                AVG(CAST(invalid_tool_flag AS INTEGER)) AS invalid_tool_flag_rate,

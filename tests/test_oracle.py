@@ -33,7 +33,7 @@ def _norm(v):
 
 def test_every_query_has_twin_or_is_sampling():
     missing = set(QUERIES) - set(SQL)
-    assert missing == {"stratified_sample_members", "sample_share_screenings"}
+    assert missing == {"stratified_sample", "sample_share"}
     assert set(SQL) <= set(QUERIES)
 
 
