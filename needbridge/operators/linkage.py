@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from needbridge.functions import flag
-from needbridge.operators.skew import CHUNK, DEFAULT_HOT_ROWS, default_chunks, range_chunks, split_hot
+from needbridge.operators.skew import CHUNK, DEFAULT_HOT_ROWS, range_chunks, split_hot
 from needbridge.schemas import SERVICE_SLA_DAYS
 
 c = F.col
@@ -127,10 +127,10 @@ def first_followup_after(
     if hot_key_rows is None:
         scanned = _suffix_min_plain(u, entity)
     else:
-        cold, hot = split_hot(u, entity, hot_key_rows, counts_from)
+        cold, hot, chunks = split_hot(u, entity, hot_key_rows, counts_from)
         scanned = _suffix_min_plain(cold, entity)
         if hot is not None:
-            n = num_chunks or default_chunks(u)
+            n = num_chunks or chunks
             scanned = scanned.unionByName(
                 _suffix_min_chunked(hot, entity, n).select(*scanned.columns))
     ev = scanned.where(c("__kind") == 0)

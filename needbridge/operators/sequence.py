@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from needbridge.operators.skew import CHUNK, DEFAULT_HOT_ROWS, default_chunks, range_chunks, split_hot
+from needbridge.operators.skew import CHUNK, DEFAULT_HOT_ROWS, range_chunks, split_hot
 
 c = F.col
 
@@ -67,11 +67,11 @@ def sequence_events(
     tiebreak = list(tiebreak)
     if hot_key_rows is None:
         return _plain(df, entity, ts, tiebreak, seq_col, prior_col)
-    cold, hot = split_hot(df, entity, hot_key_rows, counts_from)
+    cold, hot, chunks = split_hot(df, entity, hot_key_rows, counts_from)
     a = _plain(cold, entity, ts, tiebreak, seq_col, prior_col)
     if hot is None:
         return a
-    n = num_chunks or default_chunks(df)
+    n = num_chunks or chunks
     b = _chunked(hot, entity, ts, tiebreak, seq_col, prior_col, n).select(*a.columns)
     return a.unionByName(b)
 

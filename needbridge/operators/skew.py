@@ -40,27 +40,39 @@ CHUNK = "__chunk"
 DEFAULT_HOT_ROWS = 2_000_000
 
 
+MAX_CHUNKS = 100_000
+# Tasks much smaller than this cost more in scheduling than they save.
+MIN_CHUNK_ROWS = 1_000_000
+
+
 def hot_keys(df: DataFrame, key: str, threshold: int) -> DataFrame:
-    """Keys with more than ``threshold`` rows (<= rows/threshold of them)."""
+    """Keys with more than ``threshold`` rows (<= rows/threshold of them), with counts."""
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-            .where(F.col("__n") > threshold).select(key))
+            .where(F.col("__n") > threshold))
 
 
 def split_hot(df: DataFrame, key: str, threshold: int,
-              counts_from: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of cold keys, rows of hot keys or None when no key is hot).
+              counts_from: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None, int]:
+    """(rows of cold keys, rows of hot keys or None, suggested chunk count).
 
     ``counts_from`` may name a cheaper superset of ``df`` (e.g. the raw
     table before deduplication and joins) to count keys on; a key counted
     hot there but not in ``df`` just takes the exact chunked path.
     Both filters are broadcast hash joins against the bounded hot-key list,
     so the cold side keeps whatever partitioning ``df`` already has.
+    The chunk count aims at about ``max(threshold, MIN_CHUNK_ROWS)`` rows
+    per chunk, so a chunk of a hot key is no larger than the largest cold
+    group (or one modest task).  One small job
+    (a two-number aggregate over the hot-key list) decides all of this.
     """
-    hot = hot_keys(counts_from if counts_from is not None else df, key, threshold)
-    if hot.limit(1).count() == 0:
-        return df, None
-    hot = F.broadcast(hot)
-    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
+    counts = hot_keys(counts_from if counts_from is not None else df, key, threshold)
+    stats = counts.agg(F.count(F.lit(1)).alias("k"), F.sum("__n").alias("rows")).first()
+    if not stats["k"]:
+        return df, None, 0
+    per_chunk = max(threshold, MIN_CHUNK_ROWS)
+    chunks = int(min(MAX_CHUNKS, max(2, -(-stats["rows"] // per_chunk))))
+    hot = F.broadcast(counts.select(key))
+    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi"), chunks
 
 
 def range_chunks(df: DataFrame, key: str, order: list[Column], num_chunks: int) -> DataFrame:
@@ -74,6 +86,3 @@ def range_chunks(df: DataFrame, key: str, order: list[Column], num_chunks: int)
               .withColumn(CHUNK, F.spark_partition_id()))
     return tagged.checkpoint(eager=True)
 
-
-def default_chunks(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

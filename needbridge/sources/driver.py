@@ -55,7 +55,7 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = n.join(r, n.n_regionkey == r.r_regionkey).select(
         "n_nationkey", "n_regionkey", F.col("n_name").alias("county"),
         F.col("r_name").alias("scn_region"))
-    return checked_broadcast(geo, GEO_MAX_ROWS)
+    return checked_broadcast(geo, GEO_MAX_ROWS, cache_key=f"{sf_dir}/nation+region")
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
