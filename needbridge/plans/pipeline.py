@@ -18,7 +18,7 @@ from needbridge.operators import gap_index
 from needbridge.operators import quality as dq
 from needbridge.plans.stages import Stages
 from needbridge.schemas import NEED_TYPES
-from needbridge.sources.sinks import export_csv, write_parquet
+from needbridge.sources.sinks import export_csv, write_counted, write_parquet
 
 SHARED = ("int_member_screenings", "int_service_linkage")
 
@@ -37,6 +37,7 @@ def mart_order() -> dict[str, list]:
 @dataclass
 class RunResult:
     paths: dict[str, str] = field(default_factory=dict)
+    rows: dict[str, int] = field(default_factory=dict)
     quality: DataFrame | None = None
     skipped_exports: list[str] = field(default_factory=list)
 
@@ -72,12 +73,14 @@ def run_pipeline(
     s = Stages(raw, **kw)
     res = RunResult()
     for name in SHARED:
-        path = write_parquet(getattr(s, name), f"{out_dir}/{name}")
+        path = f"{out_dir}/{name}"
+        res.rows[name] = write_counted(getattr(s, name), path)
         res.paths[name] = path
         # rebind: consumers read the written stage instead of recomputing it
         s.__dict__[name] = spark.read.parquet(path)
     for name in Stages.MARTS:
-        res.paths[name] = write_parquet(getattr(s, name), f"{out_dir}/{name}")
+        res.paths[name] = f"{out_dir}/{name}"
+        res.rows[name] = write_counted(getattr(s, name), res.paths[name])
     marts = {n: spark.read.parquet(p) for n, p in res.paths.items() if n in Stages.MARTS}
     if export:
         res.skipped_exports = export_csv(marts, f"{out_dir}/exports", order_by=mart_order())

@@ -36,7 +36,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     deployment in ``spark.checkpoint.dir``; the temporary fallback exists
     for local tests only.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", "")
     d = sc.getCheckpointDir()
     if d:
         return d

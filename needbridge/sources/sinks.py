@@ -16,6 +16,20 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     return path
 
 
+def write_counted(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+    """Write like ``write_parquet`` and return the row count from the same pass.
+
+    The count is an ``Observation`` metric gathered while the write runs,
+    so logging a stage's size (the reference prints it) costs no second job.
+    """
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    obs = Observation("rows")
+    write_parquet(df.observe(obs, F.count(F.lit(1)).alias("n")), path, partition_by)
+    return int(obs.get["n"])
+
+
 def export_csv(
     marts: Mapping[str, DataFrame | None],
     out_dir: str,

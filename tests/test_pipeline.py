@@ -43,6 +43,8 @@ def test_run_pipeline_writes_stages_and_csv(spark):
     rates = [float(r["screening_rate_pct"]) for r in rows if r["screening_rate_pct"]]
     assert rates == sorted(rates, reverse=True)
     assert res.quality.count() > 0 and res.skipped_exports == []
+    assert res.rows["int_service_linkage"] == res.rows["int_member_screenings"] > 0
+    assert res.rows["mart_scn_performance"] == 5
 
 
 # Rows of the reference's published marts (counts -> percentages).
