@@ -55,7 +55,7 @@ def main():
         for name, fn in driver.SOURCES.items():
             write_parquet(fn(spark, sf_dir), f"{raw_dir}/{name}")
 
-    times["ingest_sources"] = timed(ingest)
+    times["ingest_sources"] = min(timed(ingest) for _ in range(repeat))
 
     def stages():
         return Stages(read_sources(spark, raw_dir), window=DRIVER_WINDOW)

@@ -113,8 +113,14 @@ def tier(
 
 
 def padded_id(prefix: str, key: str | Column, width: int) -> Column:
-    """Zero-padded surrogate id, like ``zfill``: never cuts a longer key."""
-    return F.format_string(f"{prefix}%0{width}d", as_col(key).cast("long"))
+    """Zero-padded surrogate id of a non-negative integer key, like ``zfill``.
+
+    ``lpad`` alone would cut a key longer than ``width``; such keys are
+    kept whole.  (Plain string functions: ``format_string`` would call
+    the JVM's formatter once per row.)
+    """
+    s = as_col(key).cast("long").cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(s) >= width, s).otherwise(F.lpad(s, width, "0")))
 
 
 def age_years(dob: str | Column, as_of: str) -> Column:

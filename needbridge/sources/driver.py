@@ -88,7 +88,7 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 20 == 0, F.lit(None)).otherwise(F.col("c_mktsegment")).alias("race_ethnicity"),
         "county",
         "scn_region",
-        F.format_string("%05d", (k * 7919) % 100000).alias("zip_code"),
+        F.lpad(((k * 7919) % 100000).cast("string"), 5, "0").alias("zip_code"),
         pick(ELIGIBILITY, k % 6).alias("eligibility_group"),
         _risk_tier(F.col("c_acctbal")).alias("risk_tier"),
         _iso(F.date_add(F.lit("2018-01-01").cast("date"), ((k * 13) % 1800).cast("int")))
