@@ -83,7 +83,8 @@ def run_pipeline(
         res.rows[name] = write_counted(getattr(s, name), res.paths[name])
     marts = {n: spark.read.parquet(p) for n, p in res.paths.items() if n in Stages.MARTS}
     if export:
-        res.skipped_exports = export_csv(marts, f"{out_dir}/exports", order_by=mart_order())
+        res.skipped_exports = export_csv(marts, f"{out_dir}/exports", order_by=mart_order(),
+                                         known_rows=res.rows)
     if check:
         q = quality_suite(s)
         res.paths["quality"] = write_parquet(q, f"{out_dir}/quality")

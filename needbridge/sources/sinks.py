@@ -35,6 +35,7 @@ def export_csv(
     out_dir: str,
     order_by: Mapping[str, Sequence] | None = None,
     max_rows: int = 1_000_000,
+    known_rows: Mapping[str, int] | None = None,
 ) -> list[str]:
     """Write each mart as one CSV with a header; return the skipped names.
 
@@ -42,7 +43,8 @@ def export_csv(
     written through one partition after a size check; a mart above
     ``max_rows`` is written as a multi-file CSV instead of being forced
     through one task.  A ``None`` or absent mart is skipped, like the
-    reference skips missing inputs.
+    reference skips missing inputs.  ``known_rows`` (e.g. counts observed
+    while the marts were written) replaces the size check.
     """
     skipped = []
     for name, df in marts.items():
@@ -50,7 +52,8 @@ def export_csv(
             skipped.append(name)
             continue
         keys = (order_by or {}).get(name)
-        small = df.limit(max_rows + 1).count() <= max_rows
+        n = (known_rows or {}).get(name)
+        small = (n if n is not None else df.limit(max_rows + 1).count()) <= max_rows
         if small:
             # repartition (not coalesce) so the upstream stage keeps its
             # parallelism; only the bounded result moves to one task.
