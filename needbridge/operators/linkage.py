@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from needbridge.functions import flag
-from needbridge.operators.skew import CHUNK, DEFAULT_HOT_ROWS, range_chunks, split_hot
+from needbridge.operators.skew import CHUNK, DEFAULT_HOT_ROWS, bounded, range_chunks, split_hot
 from needbridge.schemas import SERVICE_SLA_DAYS
 
 c = F.col
@@ -81,14 +81,14 @@ def _suffix_min_plain(u: DataFrame, entity: str) -> DataFrame:
     return u.withColumn("__first", F.min("__f").over(w))
 
 
-def _suffix_min_chunked(u: DataFrame, entity: str, num_chunks: int) -> DataFrame:
+def _suffix_min_chunked(u: DataFrame, entity: str, num_chunks: int, n_hot: int) -> DataFrame:
     r = range_chunks(u, entity, _rev(), num_chunks)
     w = Window.partitionBy(entity, CHUNK).orderBy(*_rev()).rowsBetween(Window.unboundedPreceding, 0)
     local = r.withColumn("__lmin", F.min("__f").over(w))
     summary = local.groupBy(entity, CHUNK).agg(F.min("__f").alias("__cmin"))
     wc = Window.partitionBy(entity).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(entity, CHUNK, F.min("__cmin").over(wc).alias("__carry"))
-    out = local.join(F.broadcast(carry), [entity, CHUNK])
+    out = local.join(bounded(carry, n_hot + num_chunks), [entity, CHUNK])
     return out.withColumn("__first", F.least("__lmin", "__carry")).drop("__lmin", "__carry", CHUNK)
 
 
@@ -127,11 +127,11 @@ def first_followup_after(
     if hot_key_rows is None:
         scanned = _suffix_min_plain(u, entity)
     else:
-        cold, hot, chunks = split_hot(u, entity, hot_key_rows, counts_from)
+        cold, hot, chunks, n_hot = split_hot(u, entity, hot_key_rows, counts_from)
         scanned = _suffix_min_plain(cold, entity)
         if hot is not None:
             n = num_chunks or chunks
             scanned = scanned.unionByName(
-                _suffix_min_chunked(hot, entity, n).select(*scanned.columns))
+                _suffix_min_chunked(hot, entity, n, n_hot).select(*scanned.columns))
     ev = scanned.where(c("__kind") == 0)
     return ev.groupBy(*group).agg(F.min("__first").alias("first_service_date"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from needbridge.operators.skew import CHUNK, DEFAULT_HOT_ROWS, range_chunks, split_hot
+from needbridge.operators.skew import CHUNK, DEFAULT_HOT_ROWS, bounded, range_chunks, split_hot
 
 c = F.col
 
@@ -24,7 +24,7 @@ def _plain(df: DataFrame, entity: str, ts: str, tiebreak, seq_col: str, prior_co
 
 
 def _chunked(df: DataFrame, entity: str, ts: str, tiebreak, seq_col: str, prior_col: str,
-             num_chunks: int) -> DataFrame:
+             num_chunks: int, n_hot: int) -> DataFrame:
     order = _order(ts, tiebreak)
     r = range_chunks(df, entity, order, num_chunks)
     w = Window.partitionBy(entity, CHUNK).orderBy(*order)
@@ -39,7 +39,7 @@ def _chunked(df: DataFrame, entity: str, ts: str, tiebreak, seq_col: str, prior_
         F.lag("__last").over(wc).alias("__prev"),
     )
     # carry has <= (#hot entities + #chunks) rows
-    out = local.join(F.broadcast(carry), [entity, CHUNK])
+    out = local.join(bounded(carry, n_hot + num_chunks), [entity, CHUNK])
     return (out.withColumn(seq_col, (c("__rn") + c("__off")).cast("long"))
             .withColumn(prior_col, F.when(c("__rn") == 1, c("__prev")).otherwise(c("__lag")))
             .drop("__rn", "__lag", "__off", "__prev", CHUNK))
@@ -67,12 +67,12 @@ def sequence_events(
     tiebreak = list(tiebreak)
     if hot_key_rows is None:
         return _plain(df, entity, ts, tiebreak, seq_col, prior_col)
-    cold, hot, chunks = split_hot(df, entity, hot_key_rows, counts_from)
+    cold, hot, chunks, n_hot = split_hot(df, entity, hot_key_rows, counts_from)
     a = _plain(cold, entity, ts, tiebreak, seq_col, prior_col)
     if hot is None:
         return a
     n = num_chunks or chunks
-    b = _chunked(hot, entity, ts, tiebreak, seq_col, prior_col, n).select(*a.columns)
+    b = _chunked(hot, entity, ts, tiebreak, seq_col, prior_col, n, n_hot).select(*a.columns)
     return a.unionByName(b)
 
 

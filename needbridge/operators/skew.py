@@ -43,6 +43,13 @@ DEFAULT_HOT_ROWS = 2_000_000
 MAX_CHUNKS = 100_000
 # Tasks much smaller than this cost more in scheduling than they save.
 MIN_CHUNK_ROWS = 1_000_000
+# Largest key list / carry table sent by broadcast; beyond it, shuffle joins.
+MAX_BROADCAST_KEYS = 1_000_000
+
+
+def bounded(df: DataFrame, rows: int):
+    """Broadcast hint for a side whose row count ``rows`` is already known."""
+    return F.broadcast(df) if rows <= MAX_BROADCAST_KEYS else df
 
 
 def hot_keys(df: DataFrame, key: str, threshold: int) -> DataFrame:
@@ -52,8 +59,9 @@ def hot_keys(df: DataFrame, key: str, threshold: int) -> DataFrame:
 
 
 def split_hot(df: DataFrame, key: str, threshold: int,
-              counts_from: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None, int]:
-    """(rows of cold keys, rows of hot keys or None, suggested chunk count).
+              counts_from: DataFrame | None = None
+              ) -> tuple[DataFrame, DataFrame | None, int, int]:
+    """(rows of cold keys, rows of hot keys or None, chunk count, #hot keys).
 
     ``counts_from`` may name a cheaper superset of ``df`` (e.g. the raw
     table before deduplication and joins) to count keys on; a key counted
@@ -67,12 +75,13 @@ def split_hot(df: DataFrame, key: str, threshold: int,
     """
     counts = hot_keys(counts_from if counts_from is not None else df, key, threshold)
     stats = counts.agg(F.count(F.lit(1)).alias("k"), F.sum("__n").alias("rows")).first()
-    if not stats["k"]:
-        return df, None, 0
+    k = int(stats["k"] or 0)
+    if not k:
+        return df, None, 0, 0
     per_chunk = max(threshold, MIN_CHUNK_ROWS)
     chunks = int(min(MAX_CHUNKS, max(2, -(-stats["rows"] // per_chunk))))
-    hot = F.broadcast(counts.select(key))
-    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi"), chunks
+    hot = bounded(counts.select(key), k)  # size known: k keys
+    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi"), chunks, k
 
 
 def range_chunks(df: DataFrame, key: str, order: list[Column], num_chunks: int) -> DataFrame:
