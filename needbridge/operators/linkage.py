@@ -127,7 +127,7 @@ def first_followup_after(
     if hot_key_rows is None:
         scanned = _suffix_min_plain(u, entity)
     else:
-        cold, hot, chunks, n_hot = split_hot(u, entity, hot_key_rows, counts_from)
+        cold, hot, chunks, n_hot, _ = split_hot(u, entity, hot_key_rows, counts_from)
         scanned = _suffix_min_plain(cold, entity)
         if hot is not None:
             n = num_chunks or chunks

@@ -7,7 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from needbridge.operators.skew import CHUNK, DEFAULT_HOT_ROWS, bounded, range_chunks, split_hot
+from needbridge.operators.skew import (
+    CHUNK,
+    DEFAULT_HOT_ROWS,
+    MAX_BROADCAST_KEYS,
+    bounded,
+    range_chunks,
+    split_hot,
+)
+from needbridge.sources.lookup import checked_broadcast
 
 c = F.col
 
@@ -67,7 +75,7 @@ def sequence_events(
     tiebreak = list(tiebreak)
     if hot_key_rows is None:
         return _plain(df, entity, ts, tiebreak, seq_col, prior_col)
-    cold, hot, chunks, n_hot = split_hot(df, entity, hot_key_rows, counts_from)
+    cold, hot, chunks, n_hot, _ = split_hot(df, entity, hot_key_rows, counts_from)
     a = _plain(cold, entity, ts, tiebreak, seq_col, prior_col)
     if hot is None:
         return a
@@ -96,16 +104,30 @@ def member_screenings(
 ) -> DataFrame:
     """Valid deduplicated screenings joined to their member, in sequence.
 
-    Inner join on ``member_id`` (sort-merge; AQE may split a skewed side),
-    then the sequence window, which reuses the join's ``member_id``
-    partitioning for cold members — one shuffle for join and window.
-    Hot members are found on ``counts_from`` (default: the valid screenings
-    themselves); pass the staged, not yet deduplicated screenings to make
-    that check a single scan with a partial aggregate.
+    Cold members: inner sort-merge join on ``member_id`` and the sequence
+    window, which reuses the join's partitioning — one shuffle for both.
+
+    Hot members are split off *before* the join: a sort-merge join would
+    put a hot member's rows into one task (adaptive execution will not
+    split it, since that would force another shuffle under the window).
+    Their rows instead meet a broadcast of just the hot members'
+    attributes (size-checked) and go to the range-chunked scan.  Hot
+    members are found on ``counts_from`` (default: the valid screenings);
+    pass the staged, not yet deduplicated screenings to make that check one
+    narrow scan with a partial aggregate.
     """
     s = screenings.where(~c("null_date_flag") & ~c("null_member_flag"))
     m = members.select("member_id", *MEMBER_ATTRS)
-    joined = s.join(m, "member_id").select(
-        "screening_id", "member_id", *MEMBER_ATTRS, *SCREENING_ATTRS)
-    return sequence_events(joined, hot_key_rows=hot_key_rows, num_chunks=num_chunks,
-                           counts_from=(counts_from if counts_from is not None else s).select("member_id"))
+    cols = ["screening_id", "member_id", *MEMBER_ATTRS, *SCREENING_ATTRS]
+    if hot_key_rows is None:
+        return sequence_events(s.join(m, "member_id").select(*cols), hot_key_rows=None)
+    source = (counts_from if counts_from is not None else s).select("member_id")
+    cold_s, hot_s, chunks, n_hot, keys = split_hot(s, "member_id", hot_key_rows, source)
+    cold = sequence_events(cold_s.join(m, "member_id").select(*cols), hot_key_rows=None)
+    if hot_s is None:
+        return cold
+    hot_members = checked_broadcast(m.join(keys, "member_id", "left_semi"), MAX_BROADCAST_KEYS)
+    hot = hot_s.join(hot_members, "member_id").select(*cols)
+    seq = _chunked(hot, "member_id", "screening_date", ["screening_id"], "screening_seq",
+                   "prior_screening_date", num_chunks or chunks, n_hot)
+    return cold.unionByName(seq.select(*cold.columns))

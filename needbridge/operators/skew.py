@@ -31,6 +31,8 @@ checkpointed and the plan is the plain window.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,10 +60,17 @@ def hot_keys(df: DataFrame, key: str, threshold: int) -> DataFrame:
             .where(F.col("__n") > threshold))
 
 
+class HotSplit(NamedTuple):
+    cold: DataFrame          # rows of cold keys
+    hot: DataFrame | None    # rows of hot keys, None when no key is hot
+    chunks: int              # suggested number of range chunks for the hot rows
+    n_hot: int               # number of hot keys
+    keys: DataFrame | None   # the hot keys (broadcast-hinted when small enough)
+
+
 def split_hot(df: DataFrame, key: str, threshold: int,
-              counts_from: DataFrame | None = None
-              ) -> tuple[DataFrame, DataFrame | None, int, int]:
-    """(rows of cold keys, rows of hot keys or None, chunk count, #hot keys).
+              counts_from: DataFrame | None = None) -> HotSplit:
+    """Split ``df`` into the rows of cold and of hot keys.
 
     ``counts_from`` may name a cheaper superset of ``df`` (e.g. the raw
     table before deduplication and joins) to count keys on; a key counted
@@ -77,11 +86,11 @@ def split_hot(df: DataFrame, key: str, threshold: int,
     stats = counts.agg(F.count(F.lit(1)).alias("k"), F.sum("__n").alias("rows")).first()
     k = int(stats["k"] or 0)
     if not k:
-        return df, None, 0, 0
+        return HotSplit(df, None, 0, 0, None)
     per_chunk = max(threshold, MIN_CHUNK_ROWS)
     chunks = int(min(MAX_CHUNKS, max(2, -(-stats["rows"] // per_chunk))))
     hot = bounded(counts.select(key), k)  # size known: k keys
-    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi"), chunks, k
+    return HotSplit(df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi"), chunks, k, hot)
 
 
 def range_chunks(df: DataFrame, key: str, order: list[Column], num_chunks: int) -> DataFrame:
