@@ -228,3 +228,18 @@ def test_risk_from_members_counts_pairs_without_blowup(spark):
     ms = ops.member_screenings(ops.stage_screenings(raw(spark, "screenings", screens)), members)
     r = ops.risk_from_members(members, out, ms).first()
     assert (r["total_members"], r["coverage_lapsed"], r["lapsed_with_unmet_hrsn"]) == (1, 9, 9)
+
+
+def test_member_screenings_pre_join_hot_split_equals_plain(spark):
+    rnd = random.Random(11)
+    recs, mids = [], set()
+    for i in range(1500):
+        m = "M0" if rnd.random() < 0.34 else f"M{rnd.randrange(1, 40)}"
+        mids.add(m)
+        d = "not-a-date" if rnd.random() < 0.03 else str(D(2024, 1, 1) + dt.timedelta(days=rnd.randrange(30)))
+        recs.append(scr(f"S{i:05d}", m, d, hrsn_flag=rnd.random() < 0.5))
+    s = ops.dedupe_latest(ops.stage_screenings(raw(spark, "screenings", recs)))
+    m = ops.stage_members(raw(spark, "members", [mem(x, age=len(x)) for x in sorted(mids)]))
+    plain = ops.member_screenings(s, m, hot_key_rows=None)
+    split = ops.member_screenings(s, m, hot_key_rows=100, num_chunks=5)
+    assert rows(plain) == rows(split)
