@@ -54,36 +54,28 @@ def components(edges: DataFrame, tag: str, max_rounds: int = 60) -> DataFrame:
 
     ``component`` is the smallest node reachable.  Alternating large-star and
     small-star steps: each round joins every node to its smallest neighbour,
-    halving path lengths, until the edge set is a star forest.  Each round's
-    edges are written, so lineage stays one step long.  Self edges are allowed
-    and mark single nodes.
+    which shortens paths, until the edges form a star forest.  Each round's
+    edges are written, so lineage stays one step long.
     """
-    both = materialize(
-        edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-        f"{tag}-edges")
+    high_low = [F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")]
+    both = materialize(edges.where("a <> b").select(*high_low).distinct(), f"{tag}-edges")
     seen = None
     for _ in range(max_rounds):
-        # large star: neighbours above a node move to the node's minimum
-        sym = both.union(both.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = sym.groupBy("a").agg(F.min("b").alias("m")).select(
-            F.col("a").alias("n"), F.least("a", "m").alias("m"))
-        large = (sym.join(low, sym.a == low.n).where(F.col("b") > F.col("a"))
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")))
-        large = large.union(both.where("a = b")).distinct()
-        # small star: a node and its lower neighbours move to the lowest of them
-        low2 = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), "m")
-        small = large.join(low2, large.a == low2.n)
-        nxt = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
-            low2.select(F.col("n").alias("a"), F.col("m").alias("b"))).distinct()
-        both = materialize(nxt.where("a <> b").union(edges.where("a = b").select("a", "b")).distinct(),
-                           f"{tag}-star")
-        state = both.where("a <> b").agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:
+        state = both.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if state == seen or state[0] == 0:
             break
         seen = state
+        # large star: a node's greater neighbours move to the least of it and its neighbours
+        sym = both.union(both.select("b", "a"))
+        least = sym.groupBy("a").agg(F.min("b").alias("m")).select(
+            F.col("a").alias("n"), F.least("a", "m").alias("m"))
+        large = sym.join(least, sym["a"] == least["n"]).where("b > a").select(
+            F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        # small star: a node and its lesser neighbours move to the least of them
+        least = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), "m")
+        small = large.join(least, large["a"] == least["n"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        both = materialize(small.where("a <> b").union(least.select("n", "m")).distinct(), f"{tag}-stars")
     else:
         raise RuntimeError(f"components: no fixed point after {max_rounds} rounds")
-    return both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).unionByName(
-        both.select(F.col("b").alias("node"), F.col("b").alias("component"))).groupBy("node").agg(
-        F.min("component").alias("component"))
+    return both.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
+        both.select("b", "b")).groupBy("node").agg(F.min("component").alias("component"))

@@ -7,16 +7,26 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from needbridge.llm import packing
+from needbridge.llm import decontam, ngram_join, packing
 from needbridge.llm.common import table
 
 
+def op4_adaptive_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(table(spark, sf_dir, "documents"))
+
+
+def op7_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_adaptive_jaccard": op4_adaptive_jaccard,
+        "op7_containment": op7_containment,
         "op10_best_two_fit": op10_best_two_fit,
     }
 
