@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from needbridge.llm import decontam, ngram_join, packing
+from needbridge.llm import decontam, kneser_ney, line_dedup, ngram_join, packing
 from needbridge.llm.common import table
 
 
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_adaptive_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(table(spark, sf_dir, "documents"))
 
@@ -19,14 +23,20 @@ def op7_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.removed_lines(table(spark, sf_dir, "documents"))
+
+
 def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_kneser_ney": op3_kneser_ney,
         "op4_adaptive_jaccard": op4_adaptive_jaccard,
         "op7_containment": op7_containment,
+        "op9_line_dedup": op9_line_dedup,
         "op10_best_two_fit": op10_best_two_fit,
     }
 
