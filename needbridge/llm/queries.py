@@ -7,10 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from needbridge.llm import decontam, kneser_ney, line_dedup, ngram_join, packing
+from needbridge.llm import (
+    decontam, ego_join, fixity, kneser_ney, line_dedup, ngram_join, packing, pii, secrets, wrappers)
 from needbridge.llm.common import table
 
 
+def op1_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.train(docs))
+
+
+def op2_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -19,10 +29,24 @@ def op4_adaptive_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as WARC records against a replica whose faults hang on the records' hashes."""
+    records = fixity.records_of(table(spark, sf_dir, "pages"))
+    return fixity.audit(fixity.leaves(records), fixity.leaves(fixity.damaged_copy(records)))
+
+
+def op6_ego_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ego_join.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.removed_lines(table(spark, sf_dir, "documents"))
 
@@ -33,13 +57,43 @@ def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pii_boosting": op1_pii_boosting,
+        "op2_secret_forest": op2_secret_forest,
         "op3_kneser_ney": op3_kneser_ney,
         "op4_adaptive_jaccard": op4_adaptive_jaccard,
+        "op5_merkle_audit": op5_merkle_audit,
+        "op6_ego_join": op6_ego_join,
         "op7_containment": op7_containment,
+        "op8_wrappers": op8_wrappers,
         "op9_line_dedup": op9_line_dedup,
         "op10_best_two_fit": op10_best_two_fit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Twins of the queries that SQL can express."""
+    return {
+        "op5_merkle_audit": OP5,
+    }
+
+
+#: The audit's result from the records and faults alone: no tree, every record compared.
+OP5 = r"""
+WITH rec AS (
+  SELECT coalesce(floor(page_id / 1000.0), -1)::BIGINT AS archive, page_id,
+    encode('WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
+      || coalesce(page_id::VARCHAR, '') || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+      || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, ''))::VARCHAR
+      || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10)) AS bytes
+  FROM pages),
+hashed AS (
+  SELECT archive, page_id, octet_length(bytes)::BIGINT AS length, sha256(bytes) AS h,
+    sha256(unhex(substr(hex(bytes), 1, 18) || '58' || substr(hex(bytes), 21))) AS changed,
+    (sum(octet_length(bytes)) OVER (PARTITION BY archive ORDER BY page_id, hex(bytes)
+      ROWS UNBOUNDED PRECEDING) - octet_length(bytes))::BIGINT AS "offset"
+  FROM rec)
+SELECT archive, "offset", length, page_id,
+  CASE WHEN h LIKE '00%' THEN 'missing' ELSE 'damaged' END AS status, h AS expected,
+  CASE WHEN h NOT LIKE '00%' THEN changed END AS found
+FROM hashed WHERE substr(h, 1, 2) IN ('00', '40', '80', 'c0')
+"""
