@@ -29,35 +29,41 @@ HASH_BITS = 51
 BROADCAST_LINES = 2_000_000
 
 
-def words_of(text: Column) -> Column:
-    """Lower-case words between white space."""
-    plain = F.translate(F.lower(text), "\t\r\n\x0b\x0c", "     ")
-    return F.filter(F.split(plain, " "), lambda w: w != "")
+def plain(text: Column) -> Column:
+    """Lower case, with a space for each white-space character."""
+    return F.translate(F.lower(text), "\t\r\n\x0b\x0c", "     ")
 
 
 def rarity(docs: DataFrame) -> list[int]:
     """Rank (0: rarest) of each hash bucket of words, from the counts of all words."""
-    counted = docs.select(F.explode(F.split(F.translate(F.lower("text"), "\t\r\n\x0b\x0c", "     "), " ")).alias("w")).groupBy(
+    counted = docs.select(F.explode(F.split(plain(F.col("text")), " ")).alias("w")).groupBy(
         F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).cast("int").alias("bucket")).agg(F.count("*").alias("n")).collect()
     n = {r["bucket"]: r["n"] for r in counted}
     rank = {b: i for i, b in enumerate(sorted(range(BUCKETS), key=lambda b: (n.get(b, 0), b)))}
     return [rank[b] for b in range(BUCKETS)]
 
 
-def shingle_keys(words: Column, ranks: Column) -> Column:
-    """Sorted distinct keys, the rarest first: rank of the rarest word, then the shingle's hash."""
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
+def with_keys(lines: DataFrame, ranks: Column) -> DataFrame:
+    """``lines`` that hold words, with ``keys``: their sorted distinct shingle keys, the rarest first.
+
+    A key is the rank of the shingle's rarest word, then the shingle's hash.
+    Word hashes are a column of their own, so that they are made once.
+    """
+    low = F.lit((1 << HASH_BITS) - 1)
+    words = F.filter(F.split(plain(F.col("line")), " "), lambda w: w != "")
+    hashed = lines.where(F.trim(plain(F.col("line"))) != "").withColumn(
+        "h", F.transform(words, lambda w: F.xxhash64(w)))
+    ranked = hashed.withColumn("r", F.transform("h", lambda h: F.get(ranks, F.pmod(h, F.lit(BUCKETS)).cast("int"))))
 
     def key(i: Column) -> Column:
-        part = [F.get(hashes, i + j) for j in range(WIDTH)]
-        rank = F.least(*[F.get(ranks, F.pmod(p, F.lit(BUCKETS)).cast("int")) for p in part])
-        low = F.xxhash64(*part).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
-        return F.shiftleft(rank.cast("long"), HASH_BITS).bitwiseOR(low)
+        rank = F.least(*[F.get(F.col("r"), i + j) for j in range(WIDTH)])
+        own = F.xxhash64(*[F.get(F.col("h"), i + j) for j in range(WIDTH)])
+        return F.shiftleft(rank.cast("long"), HASH_BITS).bitwiseOR(own.bitwiseAND(low))
 
-    whole = F.array(F.xxhash64(F.lit(0), hashes).bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
-    n = F.size(words)
-    return (F.when(n >= WIDTH, F.sort_array(F.array_distinct(F.transform(F.sequence(F.lit(0), n - WIDTH), key))))
-            .when(n > 0, whole))
+    n = F.size("h")
+    every = F.sort_array(F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(n - WIDTH, F.lit(0))), key)))
+    whole = F.array(F.xxhash64(F.lit(0), F.col("h")).bitwiseAND(low))
+    return ranked.withColumn("keys", F.when(n >= WIDTH, every).otherwise(whole)).drop("h", "r")
 
 
 def need(n: Column) -> Column:
@@ -83,8 +89,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     lines without words match nothing.  Empty table: no rows.
     """
     ranks = F.lit(rarity(docs))
-    keyed = lines_of(docs).select("doc_id", "line_no", shingle_keys(words_of(F.col("line")), ranks).alias("keys")).where(
-        "keys is not null")
+    keyed = with_keys(lines_of(docs), ranks).select("doc_id", "line_no", "keys")
     n = F.size("keys")
     entries = keyed.select(
         "doc_id", "line_no", n.alias("n"), F.xxhash64("keys").alias("k1"), F.hash("keys").alias("k2"),
@@ -122,10 +127,10 @@ def verified(docs: DataFrame, pairs: DataFrame, ranks: Column) -> DataFrame:
         F.col("doc_id").alias("w_doc"), F.col("line_no").alias("w_line"))
     wanted = materialize(wanted, "wanted")
     side = F.broadcast(wanted) if wanted.count() <= BROADCAST_LINES else wanted
-    sets = lines_of(docs).join(side, (F.col("doc_id") == F.col("w_doc")) & (F.col("line_no") == F.col("w_line")),
-                               "left_semi").select(
-        F.col("doc_id").alias("s_doc"), F.col("line_no").alias("s_line"),
-        shingle_keys(words_of(F.col("line")), ranks).alias("keys"))
+    lines = lines_of(docs).join(
+        side, (F.col("doc_id") == F.col("w_doc")) & (F.col("line_no") == F.col("w_line")), "left_semi")
+    sets = with_keys(lines, ranks).select(
+        F.col("doc_id").alias("s_doc"), F.col("line_no").alias("s_line"), "keys")
     mine = sets.withColumnRenamed("keys", "x")
     other = sets.select(F.col("s_doc").alias("o_doc"), F.col("s_line").alias("o_line"), F.col("keys").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
