@@ -7,7 +7,8 @@ at least m of its first ``n - need + m`` shingles, ``need = ceil(n * num / den)`
 for every m.  Each document picks its own m: it starts at 1 and is raised, with
 the prefix, while the expected candidates (from how common the prefix shingles
 are) make a longer prefix that asks for more shared shingles cheaper.  A pair
-is verified if it shares min(m, m') shingles within the matching prefixes.
+is verified if it shares as many shingles as a linked pair of these sizes must
+share within both prefixes: min(m, m') at least, and more the closer the sizes.
 
 Copies (equal sets) become one class first.  Groups of near copies are never
 expanded into all pairs: in ``ANCHOR_ROUNDS`` rounds each class is verified
@@ -22,19 +23,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from needbridge.llm import textkeys as tk
-from needbridge.llm.common import components, materialize
+from needbridge.llm.common import components, materialize, materialize_bucketed
 
 WIDTH = 4
 NUM, DEN = 85, 100
-ANCHOR_ROUNDS = 2
+ANCHOR_ROUNDS = 4
 MAX_MATCHES = 4
+#: What verifying a pair costs beside meeting it at a shared shingle, for the choice of m.
+CHECK_COST = 8
 #: How many of the most common shingles are told apart by how common they are; only the order
 #: of shingles and the choice of m hang on it, never which pairs are found.
 COMMON_SHINGLES = 20_000
@@ -52,13 +55,14 @@ def shingles_of(text: str | None, width: int = WIDTH) -> np.ndarray:
 def common_shingles(docs: DataFrame, width: int, keep: int) -> tuple[np.ndarray, np.ndarray]:
     """(sorted keys, counts) of the most common shingles.
 
-    Each Arrow batch counts all its shingles and passes on those it has
-    MIN_IN_BATCH times or more, so a sum lacks less than that for each batch.
+    Each Arrow batch counts all its shingles, repeats in a document too, and
+    passes on those it has MIN_IN_BATCH times or more, so a sum lacks less than
+    that for each batch.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles_of(t.as_py(), width) for t in batch.column(0)]
-            keys, n = np.unique(np.concatenate(sets), return_counts=True) if sets else (tk.EMPTY, tk.EMPTY)
+            h = [tk.word_hashes((t.as_py() or "").encode().lower().split()) for t in batch.column(0)]
+            keys, n = np.unique(np.concatenate([tk.windows(x, width) for x in h] or [tk.EMPTY]), return_counts=True)
             many = n >= MIN_IN_BATCH
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys[many].view(np.int64)), pa.array(n[many].astype(np.int64))], names=["k", "n"])
@@ -75,53 +79,71 @@ def need(n: int, num: int, den: int) -> int:
 
 
 def adaptive_prefix(keys: np.ndarray, common: tuple[np.ndarray, np.ndarray], num: int, den: int
-                    ) -> tuple[np.ndarray, np.ndarray, int]:
-    """(prefix shingles, the least m whose prefix holds each, chosen m) of a sorted set."""
+                    ) -> tuple[np.ndarray, int]:
+    """(prefix shingles in global order, chosen m) of a sorted set."""
     n = len(keys)
-    count = np.ones(n, np.int64)
+    short = n - need(n, num, den)  # shingles a partner may lack
+    most = short + min(MAX_MATCHES, n - short)
+    known = np.zeros(n, bool)
     if len(common[0]):
         at = np.minimum(np.searchsorted(common[0], keys), len(common[0]) - 1)
         known = common[0][at] == keys
-        count[known] = common[1][at[known]]
-    order = np.lexsort((keys, count))
-    short = n - need(n, num, den)  # shingles a partner may lack
+    order, count = keys[~known][:most], np.zeros(most, np.int64)
+    if len(order) < most:
+        late, late_n = keys[known], common[1][at[known]]
+        by = np.lexsort((late, late_n))[:most - len(order)]
+        count[len(order):] = late_n[by]
+        order = np.concatenate([order, late[by]])
     best, chosen = None, 1
-    for m in range(1, min(MAX_MATCHES, n - short) + 1):
-        partners = int(count[order[:short + m]].sum()) - (short + m)
-        cost = partners + partners / m ** 2 * 8  # scanned entries, then candidates to verify
+    for m in range(1, most - short + 1):
+        partners = float(count[:short + m].sum())
+        cost = partners + CHECK_COST * partners / m ** 2  # entries met, then candidates to verify
         if best is None or cost < best * 0.8:
             best, chosen = cost, m
-    pick = order[:short + chosen]
-    return keys[pick], np.maximum(np.arange(len(pick)) + 1 - short, 1).astype(np.int32), chosen
+    return order[:short + chosen], chosen
 
 
 def signatures(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """One row per document: doc_id, n_shingles, 128-bit key of its set, chosen m, prefix and its levels."""
+    """One row per document: doc_id, n_shingles, 128-bit key of its set, chosen m and prefix."""
     keys, counts = common_shingles(docs, width, COMMON_SHINGLES)
     shared = docs.sparkSession.sparkContext.broadcast((keys, counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = shared.value
         for batch in batches:
-            cols: list[list] = [[], [], [], [], [], []]
+            cols: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 own = shingles_of(text.as_py(), width)
-                prefix, level, m = adaptive_prefix(own, common, num, den) if len(own) else (tk.EMPTY, [], 0)
+                prefix, m = adaptive_prefix(own, common, num, den) if len(own) else (tk.EMPTY, 0)
                 for col, v in zip(cols, (doc_id, len(own), xxhash.xxh3_128_digest(own.tobytes()), m,
-                                         prefix.view(np.int64), level)):
+                                         prefix.view(np.int64))):
                     col.append(v)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary()),
-                 pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.list_(pa.int64())),
-                 pa.array(cols[5], pa.list_(pa.int32()))],
-                names=["doc_id", "n_shingles", "set_key", "m", "prefix", "level"])
+                 pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "set_key", "m", "prefix"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, set_key binary, m int, prefix array<long>, level array<int>")
+        run, "doc_id long, n_shingles long, set_key binary, m int, prefix array<long>")
+
+
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """(id, packed): compressed texts, for documents that verification needs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            packed = [pack((t.as_py() or "").encode()) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["id", "packed"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "id long, packed binary")
+
+
+def _unpacked(packed: bytes, width: int) -> np.ndarray:
+    return shingles_of(zstandard.ZstdDecompressor().decompress(packed).decode(), width)
 
 
 def verify(pairs: DataFrame, texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """The ``pairs`` (a, b) whose documents link.  ``texts``: rows (id, text), one per id.
+    """The ``pairs`` (a, b) whose documents link.  ``texts``: rows (id, packed), one per id.
 
     The partners of a are dealt out in groups of at most MEMBERS_PER_GROUP, and
     a's text goes to each group, so a hot a is split over many tasks.
@@ -136,75 +158,93 @@ def verify(pairs: DataFrame, texts: DataFrame, width: int, num: int, den: int) -
     anchors = numbered.select("a", "part").distinct().select(
         F.col("a").alias("wanted"), "a", "part", F.lit(True).alias("anchor"))
     rows = members.unionByName(anchors).join(texts, F.col("wanted") == texts["id"]).select(
-        "a", "part", "anchor", F.col("wanted").alias("b"), "text")
+        "a", "part", "anchor", F.col("wanted").alias("b"), "packed")
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grouped = rows.repartition(n, "a", "part").sortWithinPartitions("a", "part", F.desc("anchor"))
 
-    def check(group: pd.DataFrame) -> pd.DataFrame:
-        first = group["anchor"].to_numpy()
-        mine = shingles_of(group.loc[first, "text"].iloc[0], width)
-        linked = []
-        for b, text in zip(group.loc[~first, "b"], group.loc[~first, "text"]):
-            other = shingles_of(text, width)
-            both = tk.overlap(mine, other)
-            if both and den * both >= num * (len(mine) + len(other) - both):
-                linked.append(b)
-        return pd.DataFrame({"a": np.full(len(linked), group["a"].iloc[0]), "b": linked}).astype("int64")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = tk.EMPTY  # each group's anchor comes first
+        for batch in batches:
+            linked: list[tuple] = []
+            columns = [batch.column(i).to_pylist() for i in (0, 2, 3)]
+            for a, anchor, b, packed in zip(*columns, batch.column(4)):
+                own = _unpacked(packed.as_py(), width)
+                if anchor:
+                    mine = own
+                    continue
+                both = tk.overlap(mine, own)
+                if both and den * both >= num * (len(mine) + len(own) - both):
+                    linked.append((a, b))
+            cols = list(zip(*linked)) or [[]] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["a", "b"])
+
+    return grouped.mapInArrow(run, "a long, b long")
+
+
+def _asked(num: int, den: int, x: str, y: str) -> Column:
+    """How many prefix shingles a linked pair shares at least.
+
+    ``x`` and ``y`` prefix the columns n (size) and m.  A link needs
+    ``ceil((n + n') * num / (num + den))`` shared shingles, more than each
+    prefix was made for, so the same prefixes ask for more than m matches.
+    """
+    def spare(t: str) -> Column:
+        return F.col(f"{t}m") - F.ceil(F.col(f"{t}n") * num / F.lit(den))
 
-    return rows.groupBy("a", "part").applyInPandas(check, "a long, b long")
+    return F.ceil((F.col(f"{x}n") + F.col(f"{y}n")) * num / F.lit(num + den)) + F.least(spare(x), spare(y))
 
 
-def _fits(num: int, den: int, x: str, y: str):
-    """The sizes of two sets allow a link."""
-    return (F.least(x, y) * den >= F.greatest(x, y) * num)
+def _may_link(num: int, den: int, x: str, y: str) -> Column:
+    """Sizes allow a link, and the shingle both have (at place ``at``) is early enough to be among those asked for."""
+    xn, yn = F.col(f"{x}n"), F.col(f"{y}n")
+    least = F.ceil((xn + yn) * num / F.lit(num + den))
+    late = F.greatest(F.col(f"{x}at") - xn, F.col(f"{y}at") - yn) + least
+    return (F.least(xn, yn) * den >= F.greatest(xn, yn) * num) & (late <= _asked(num, den, x, y) - 1)
 
 
 def class_links(sigs: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """(classes (set_key, id, n), components (node, component) of class ids that have links)."""
+    """(classes (set_key, id), components (node, component) of the class ids that have links)."""
     spark = docs.sparkSession
-    # ids of copies: the smallest doc_id stands for its class
-    classes = materialize(
-        sigs.where("n_shingles > 0").groupBy("set_key").agg(
-            F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("m").alias("m"),
-            F.first("prefix").alias("prefix"), F.first("level").alias("level")), "classes")
-    posts = classes.select("id", "n", "m", F.explode(F.arrays_zip("prefix", "level")).alias("p")).select(
-        "id", "n", "m", F.col("p.prefix").alias("key"), F.col("p.level").alias("level"))
+    # copies: the smallest doc_id stands for its class
+    classes = materialize(sigs.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("id")), "classes")
+    posts = sigs.join(classes.select("id"), F.col("doc_id") == F.col("id"), "left_semi").select(
+        F.col("doc_id").alias("id"), F.col("n_shingles").cast("int").alias("n"), "m",
+        F.posexplode("prefix").alias("at", "key"))
     busy = posts.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select(F.col("key").alias("k"))
     posts = materialize(posts.join(busy, F.col("key") == F.col("k")).drop("k"), "posts")
     wanted = posts.select(F.col("id").alias("w")).distinct()
-    texts = materialize(
-        docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(
-            wanted, F.col("id") == F.col("w"), "left_semi").dropDuplicates(["id"]), "texts")
+    texts = materialize_bucketed(packed_texts(docs).join(wanted, F.col("id") == F.col("w"), "left_semi"), "id", "texts")
     links = spark.createDataFrame([], "a long, b long")
     for seed in range(ANCHOR_ROUNDS):
         # the anchor of a shingle: the class that a seeded hash puts first
-        rank = F.struct(F.xxhash64("id", F.lit(seed)).alias("h"), F.col("id").alias("anchor"),
-                        F.col("n").alias("anchor_n"))
+        rank = F.struct(F.xxhash64("id", F.lit(seed)).alias("h"), "id", "n", "at", "m")
         first = posts.groupBy("key").agg(F.min(rank).alias("f")).select(
-            F.col("key").alias("k"), "f.anchor", "f.anchor_n")
-        named = (posts.join(first, F.col("key") == F.col("k")).where("id <> anchor")
-                 .where(_fits(num, den, "n", "anchor_n"))
-                 .groupBy("id", "anchor").agg(F.count("*").alias("shared")))
-        best = named.groupBy("id").agg(F.max_by("anchor", F.struct("shared", "anchor")).alias("a")).select(
+            F.col("key").alias("k"), *[F.col(f"f.{c}").alias(f"f_{c}") for c in ("id", "n", "at", "m")])
+        named = (posts.join(first, F.col("key") == F.col("k")).where("id <> f_id")
+                 .where(_may_link(num, den, "", "f_"))
+                 .groupBy("id", "f_id").agg(F.count("*").alias("shared"), F.first(_asked(num, den, "", "f_")).alias("asked"))
+                 .where("shared >= asked"))
+        best = named.groupBy("id").agg(F.max_by("f_id", F.struct("shared", "f_id")).alias("a")).select(
             "a", F.col("id").alias("b"))
-        links = materialize(links.unionByName(verify(best, texts, width, num, den)), "links")
+        links = links.unionByName(materialize(verify(best, texts, width, num, den), "links"))
     comp = components(links, "anchor-components")
     # what is left: classes that share prefix shingles over different components
+    cols = ("id", "n", "m", "at", "comp")
     tagged = posts.join(comp, F.col("id") == F.col("node"), "left").select(
-        "key", "id", "n", "m", "level", F.coalesce("component", "id").alias("comp"))
+        "key", "id", "n", "m", "at", F.coalesce("component", "id").alias("comp"))
     mixed = tagged.groupBy("key").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select(F.col("key").alias("k"))
     open_posts = materialize(tagged.join(mixed, F.col("key") == F.col("k")).drop("k"), "open")
-    left = open_posts.select("key", *[F.col(c).alias(f"x_{c}") for c in ("id", "n", "m", "level", "comp")])
-    right = open_posts.select(F.col("key").alias("k"),
-                              *[F.col(c).alias(f"y_{c}") for c in ("id", "n", "m", "level", "comp")])
+    left = open_posts.select("key", *[F.col(c).alias(f"x_{c}") for c in cols])
+    right = open_posts.select(F.col("key").alias("k"), *[F.col(c).alias(f"y_{c}") for c in cols])
+    asked = _asked(num, den, "x_", "y_")
     pairs = (left.join(right, (F.col("key") == F.col("k")) & (F.col("x_comp") < F.col("y_comp"))
-                       & _fits(num, den, "x_n", "y_n")
-                       & (F.greatest("x_level", "y_level") <= F.least("x_m", "y_m")))
+                       & _may_link(num, den, "x_", "y_"))
              .groupBy(F.col("x_id").alias("a"), F.col("y_id").alias("b"))
-             .agg(F.count("*").alias("shared"), F.first(F.least("x_m", "y_m")).alias("asked"))
+             .agg(F.count("*").alias("shared"), F.first(asked).alias("asked"))
              .where("shared >= asked").select("a", "b"))
-    pairs = materialize(pairs, "pairs")
-    links = links.unionByName(verify(pairs, texts, width, num, den))
-    return classes.select("set_key", "id", "n"), components(links, "components")
+    links = links.unionByName(materialize(verify(materialize(pairs, "pairs"), texts, width, num, den), "links"))
+    return classes, components(links, "components")
 
 
 def link_documents(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:

@@ -78,9 +78,11 @@ def test_without_anchor_rounds_and_without_common_counts(spark, texts, monkeypat
 def test_common_prefixes_ask_for_more_matches():
     keys = np.arange(1, 101, dtype=np.uint64)
     common = (keys[80:], np.full(20, 500))
-    assert nj.adaptive_prefix(keys, (keys[:0], keys[:0]), 85, 100)[2] == 1
-    prefix, level, m = nj.adaptive_prefix(keys[80:], common, 85, 100)
-    assert m > 1 and len(prefix) == len(level) and level.max() == m
+    assert nj.adaptive_prefix(keys, (keys[:0], keys[:0]), 85, 100)[1] == 1
+    prefix, m = nj.adaptive_prefix(keys[80:], common, 85, 100)
+    assert m > 1 and len(prefix) == 3 + m
+    # rare shingles first, common ones after them by count and key
+    assert nj.adaptive_prefix(keys[76:], common, 85, 100)[0].tolist() == [77, 78, 79, 80]
 
 
 def test_one_of_each_group_stays(spark, texts):
