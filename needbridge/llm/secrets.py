@@ -83,7 +83,7 @@ def with_features(found: DataFrame, pieces: list[str]) -> DataFrame:
         "coverage": F.size(F.filter(parts, lambda p: F.array_contains(F.lit(pieces), p))) / F.size(parts),
         "cue_before": F.col("before").rlike(_CUE), "cue_word": F.col("lead").rlike(_CUE),
         "assigned": context.rlike("[=:]\\s*[\"']?$"), "quoted": F.col("lead").rlike("[\"']$"),
-        "link": context.rlike("://|@|www"),
+        "link": context.rlike("(?i)https?:|://|@|www"),
         "prose_before": F.col("before").rlike("^\\p{L}+[.,]?$"), "prose_after": F.col("after").rlike("^\\p{L}+[.,]?$"),
         "path_kind": F.col("path").rlike(_SAMPLES), "path_code": F.pmod(F.xxhash64("path"), F.lit(16)),
     }
@@ -95,7 +95,7 @@ def rule_labels(found: DataFrame) -> DataFrame:
     c, lead = F.col("candidate"), F.col("lead")
     named = lead.rlike(_CUE) | (F.col("before").rlike("^[=:]$") & lead.rlike("^[\"']$"))
     yes = c.rlike("^AKIA[A-Z0-9]{16}$") | (named & c.rlike("[0-9]") & c.rlike("[a-zA-Z]"))
-    no = c.rlike("^[0-9-]+$") | c.rlike("^[A-Za-z_/-]+$") | lead.rlike("@|://")
+    no = c.rlike("^[0-9-]+$") | c.rlike("^[A-Za-z_/-]+$") | lead.rlike("(?i)@|://|https?:$")
     return found.withColumn("label", F.when(yes, 1.0).when(no, 0.0))
 
 
