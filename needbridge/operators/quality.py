@@ -43,12 +43,12 @@ def _rows(df: DataFrame, check, layer: str, scope, observed, threshold: float,
 
 def null_rates(df: DataFrame, cols: Sequence[str], layer: str, scope: str,
                max_rate: float = 0.0) -> DataFrame:
-    """Null share per column (D1, D2), all columns in one aggregate."""
+    """Null share per column (D1, D2), all columns in one aggregate; an empty table fails."""
     agg = df.agg(*[F.avg(c(x).isNull().cast("int")).alias(x) for x in cols])
     stacked = agg.select(F.explode(F.array(*[
         F.struct(F.lit(x).alias("col"), c(x).alias("rate")) for x in cols])).alias("r"))
     return _rows(stacked, F.concat(F.lit("null_rate:"), c("r.col")), layer, scope,
-                 c("r.rate"), max_rate, ERROR, F.coalesce(c("r.rate") <= max_rate, F.lit(True)))
+                 c("r.rate"), max_rate, ERROR, F.coalesce(c("r.rate") <= max_rate, F.lit(False)))
 
 
 def null_rates_by_group(df: DataFrame, group: str, cols: Sequence[str], layer: str,
@@ -129,12 +129,12 @@ def suite(*checks: DataFrame) -> DataFrame:
 def enforce(results: DataFrame) -> DataFrame:
     """Halt the run if an error-severity check failed.
 
-    Only failing error rows travel to the driver, and at most 100 of them
-    (the message); the check itself is a distributed filter.
+    A check without a verdict counts as failed.  The message names the total
+    and the first 100; the full list is in ``results``.
     """
-    failed = results.where((c("severity") == ERROR) & ~c("passed"))
-    rows = failed.limit(100).collect()
-    if rows:
-        names = ", ".join(f"{r['check']}@{r['scope']}={r['observed']}" for r in rows)
-        raise QualityError(f"data-quality checks failed: {names}")
+    failed = results.where((c("severity") == ERROR) & ~F.coalesce(c("passed"), F.lit(False)))
+    total = failed.count()
+    if total:
+        names = ", ".join(f"{r['check']}@{r['scope']}={r['observed']}" for r in failed.limit(100).collect())
+        raise QualityError(f"{total} data-quality checks failed: {names}")
     return results

@@ -19,11 +19,11 @@ LO, HI = DRIVER_WINDOW
 TOOLS = "('AHC-HRSN', 'PRAPARE', 'WellRx', 'HealthLeads')"
 NEEDS = "['Housing', 'Nutrition', 'Transportation', 'Case Management']"
 NEEDS_IN = "('Housing', 'Nutrition', 'Transportation', 'Case Management')"
-ELIG = "['Adult', 'Child', 'Pregnant', 'Disabled', 'Foster Care', 'Juvenile Justice']"
-LANGS = "['English', 'Spanish', 'Chinese', 'Russian', 'Bengali', 'Haitian Creole', 'Arabic']"
-ROLES = "['Community Health Worker', 'Social Worker', 'Nurse', 'Care Coordinator']"
-OUTCOMES = "['Completed', 'Pending', 'Declined', 'Unable to reach', 'Referred out']"
-REASONS = "['Income over threshold', 'Did not return paperwork', 'Moved out of state', 'No response']"
+ELIG = "['Group-1', 'Group-2', 'Group-3', 'Group-4', 'Group-5', 'Group-6']"
+LANGS = "['Language-1', 'Language-2', 'Language-3', 'Language-4', 'Language-5', 'Language-6', 'Language-7']"
+ROLES = "['Role-1', 'Role-2', 'Role-3', 'Role-4']"
+OUTCOMES = "['Result-1', 'Result-2', 'Result-3', 'Result-4', 'Result-5']"
+REASONS = "['Reason-1', 'Reason-2', 'Reason-3', 'Reason-4']"
 RISK = ("CASE WHEN c_acctbal < 3000 THEN 'Low' WHEN c_acctbal < 6000 THEN 'Medium' "
         "WHEN c_acctbal < 8500 THEN 'High' ELSE 'Very High' END")
 
@@ -65,10 +65,11 @@ cte("src_members", f"""
     FROM cust""", "cust")
 
 cte("scr_base", """
-    SELECT o.o_orderkey AS k, o.o_custkey, CAST(o.o_orderdate AS DATE) AS day,
+    SELECT o.o_orderkey AS k, o.o_custkey,
+           CAST(o.o_orderdate AS DATE)
+             + CASE WHEN o.o_orderkey % 5 > c.n_regionkey THEN 400 ELSE 0 END AS day,
            o.o_orderpriority, c.county, c.scn_region
-    FROM orders o JOIN cust c ON o.o_custkey = c.c_custkey
-    WHERE o.o_orderkey % 5 <= c.n_regionkey""", "cust")
+    FROM orders o JOIN cust c ON o.o_custkey = c.c_custkey""", "cust")
 
 cte("scr_rows", """
     SELECT *, 1 AS batch FROM scr_base
@@ -91,7 +92,7 @@ cte("src_screenings", f"""
                 WHEN o_orderpriority = '3-MEDIUM' THEN 'WellRx'
                 WHEN o_orderpriority = '5-LOW' THEN 'HealthLeads'
                 ELSE 'UNKNOWN_TOOL' END AS screening_tool,
-           CASE WHEN batch = 2 THEN 'Care Coordinator' ELSE ({ROLES})[k % 4 + 1] END AS screener_role,
+           CASE WHEN batch = 2 THEN 'Role-4' ELSE ({ROLES})[k % 4 + 1] END AS screener_role,
            k % 20 < 11 AS hrsn_flag,
            CASE WHEN k % 20 < 11 AND k % 33 <> 0 THEN ({NEEDS})[k % 4 + 1] END AS primary_need_type,
            (k % 20 < 11) AND (k % 3 = 0) AS food_insecurity,
@@ -124,8 +125,7 @@ cte("src_services", f"""
            l.l_partkey % 2 = 0 AS follow_up_scheduled
     FROM lineitem l
     JOIN orders o ON l.l_orderkey = o.o_orderkey
-    JOIN cust c ON o.o_custkey = c.c_custkey
-    WHERE l.l_linenumber <= 2""", "cust")
+    JOIN cust c ON o.o_custkey = c.c_custkey""", "cust")
 
 cte("src_renewals", f"""
     SELECT printf('RNW%07d', c_custkey) AS renewal_id,
@@ -134,8 +134,8 @@ cte("src_renewals", f"""
            {RISK} AS risk_tier,
            ({ELIG})[c_custkey % 6 + 1] AS eligibility_group,
            CAST(DATE '2023-06-01' + CAST((c_custkey * 11) % 670 AS INTEGER) AS VARCHAR) AS renewal_date,
-           CASE WHEN c_custkey % 50 < 29 THEN 'Renewed' WHEN c_custkey % 50 < 40 THEN 'Disenrolled'
-                WHEN c_custkey % 50 < 46 THEN 'Pending' ELSE 'Transferred to Essential Plan' END
+           CASE WHEN c_custkey % 50 < 29 THEN 'Kept' WHEN c_custkey % 50 < 40 THEN 'Disenrolled'
+                WHEN c_custkey % 50 < 46 THEN 'Open' ELSE 'Moved' END
                AS renewal_outcome,
            CASE WHEN c_custkey % 50 >= 29 AND c_custkey % 50 < 40 AND c_custkey % 7 <> 0
                 THEN ({REASONS})[c_custkey % 4 + 1] END AS disenrollment_reason,
