@@ -30,6 +30,8 @@ ORDER = 4
 KEEP_QUANTILE = 0.995
 #: Characters of a chunk, about: what one scoring task holds.
 CHUNK_CHARS = 24_000_000
+#: Characters that a task turns into n-gram keys at once.
+SLICE_CHARS = 1_000_000
 #: Trusted ids are broadcast up to this many (8 bytes each); beyond it they are joined by shuffle.
 BROADCAST_IDS = 4_000_000
 #: Places of the uniform distribution that unknown characters share.
@@ -52,15 +54,35 @@ def gram_keys(points: np.ndarray) -> np.ndarray:
     return tk.windows(points.astype(np.uint64), ORDER)
 
 
+def slices(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """(from, to) of runs of texts that hold about SLICE_CHARS characters."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= SLICE_CHARS or i == len(texts) - 1:
+            yield start, i + 1
+            start, size = i + 1, 0
+
+
 def distinct_grams(texts: list[str]) -> tuple[list[str], np.ndarray]:
     """(n-grams, counts) of prepared texts; n-grams that end in a start mark are none."""
-    joined = "".join(texts)
-    points = code_points(joined)
-    if len(points) < ORDER:
-        return [], np.zeros(0, np.int64)
-    ends = np.flatnonzero(points[ORDER - 1:] != ord(PAD))
-    keys, first, n = np.unique(gram_keys(points)[ends], return_index=True, return_counts=True)
-    return [joined[i:i + ORDER] for i in ends[first]], n
+    keys, grams, counts = tk.EMPTY, np.zeros(0, object), np.zeros(0, np.int64)
+    for start, stop in slices(texts):
+        joined = "".join(texts[start:stop])
+        points = code_points(joined)
+        if len(points) < ORDER:
+            continue
+        ends = np.flatnonzero(points[ORDER - 1:] != ord(PAD))
+        new, first, n = np.unique(gram_keys(points)[ends], return_index=True, return_counts=True)
+        both = np.concatenate([keys, new])
+        keys, at, back = np.unique(both, return_index=True, return_inverse=True)
+        counts = np.bincount(back, np.concatenate([counts, n]), len(keys)).astype(np.int64)
+        fresh = at >= len(grams)
+        old = grams
+        grams = np.empty(len(keys), object)
+        grams[~fresh] = old[at[~fresh]]
+        grams[fresh] = [joined[i:i + ORDER] for i in ends[first[at[fresh] - len(old)]]]
+    return grams.tolist(), counts
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -227,16 +249,20 @@ def perplexities(docs: DataFrame, tables: tuple) -> DataFrame:
         for row in chunk.itertuples():
             sizes = np.frombuffer(row.sizes, np.int64)
             value = np.full(len(sizes), np.nan)
-            if len(answer):
-                points = code_points(zstandard.ZstdDecompressor().decompress(row.packed).decode("utf-8", "surrogatepass"))
+            text = zstandard.ZstdDecompressor().decompress(row.packed).decode("utf-8", "surrogatepass") if len(answer) else ""
+            stops = np.cumsum(sizes)
+            texts = [text[b - n:b] for b, n in zip(stops, sizes)] if text else []
+            for start, stop in slices(texts):
+                own = sizes[start:stop]
+                points = code_points("".join(texts[start:stop]))
+                if len(points) < ORDER:
+                    continue
                 at = np.zeros(len(points))
                 ends = np.flatnonzero(points[ORDER - 1:] != ord(PAD))
                 at[ends + ORDER - 1] = logp[np.searchsorted(known, gram_keys(points)[ends])]
-                sums = np.r_[0.0, np.cumsum(at)]
-                stop = np.cumsum(sizes)
-                chars = sizes - (ORDER - 1)
-                some = chars > 0
-                value[some] = np.exp(-(sums[stop] - sums[stop - sizes])[some] / chars[some])
+                sums, last = np.r_[0.0, np.cumsum(at)], np.cumsum(own)
+                some = own > ORDER - 1
+                value[start:stop][some] = np.exp(-(sums[last] - sums[last - own])[some] / (own - ORDER + 1)[some])
             out.append(pd.DataFrame({"doc_id": pd.array(list(row.ids), "Int64"), "lang": row.lang, "perplexity": value}))
         return pd.concat(out)
 
