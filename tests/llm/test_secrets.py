@@ -37,9 +37,9 @@ def test_forest_tells_secrets_from_false_positives(spark):
 def test_held_out_findings(spark):
     texts, truth = corpus()
     found = secrets.with_features(secrets.scan(docs(spark, texts)), ["the", "and", "ion", "tio", "ing"]).cache()
-    forest = secrets.train(secrets.rule_labels(found.where("doc_id % 2 = 0")))
+    forest = secrets.train(secrets.rule_labels(found.where("doc_id div 6 % 2 = 0")))
     from pyspark.ml.feature import VectorAssembler
-    held = VectorAssembler(inputCols=list(secrets.FEATURES), outputCol="features").transform(found.where("doc_id % 2 = 1"))
+    held = VectorAssembler(inputCols=list(secrets.FEATURES), outputCol="features").transform(found.where("doc_id div 6 % 2 = 1"))
     rows = forest.transform(held).select("doc_id", "prediction").collect()
     assert sum((r.prediction == 1) == truth[r.doc_id] for r in rows) / len(rows) > 0.9
 
