@@ -12,10 +12,11 @@ share within both prefixes: min(m, m') at least, and more the closer the sizes.
 
 Copies (equal sets) become one class first.  Groups of near copies are never
 expanded into all pairs: in ``ANCHOR_ROUNDS`` rounds each class is verified
-against the class that most of its prefix shingles name as their anchor (one
-check per class and round).  Then only candidates of different components are
-verified, all of them; a prefix shingle whose classes are in one component
-already brings none.  So components are exact.
+against the class of another component that most of its prefix shingles name
+as their anchor (one check per class and round), and components are formed
+anew.  Then only candidates of different components are verified, all of them;
+a prefix shingle whose classes are in one component already brings none.  So
+components are exact.
 """
 
 from __future__ import annotations
@@ -214,27 +215,29 @@ def class_links(sigs: DataFrame, docs: DataFrame, width: int, num: int, den: int
     posts = materialize(posts.join(busy, F.col("key") == F.col("k")).drop("k"), "posts")
     wanted = posts.select(F.col("id").alias("w")).distinct()
     texts = materialize_bucketed(packed_texts(docs).join(wanted, F.col("id") == F.col("w"), "left_semi"), "id", "texts")
+    cols = ("id", "n", "m", "at", "comp")
     links = spark.createDataFrame([], "a long, b long")
+    open_posts = posts.withColumn("comp", F.col("id"))
     for seed in range(ANCHOR_ROUNDS):
         # the anchor of a shingle: the class that a seeded hash puts first
-        rank = F.struct(F.xxhash64("id", F.lit(seed)).alias("h"), "id", "n", "at", "m")
-        first = posts.groupBy("key").agg(F.min(rank).alias("f")).select(
-            F.col("key").alias("k"), *[F.col(f"f.{c}").alias(f"f_{c}") for c in ("id", "n", "at", "m")])
-        named = (posts.join(first, F.col("key") == F.col("k")).where("id <> f_id")
+        rank = F.struct(F.xxhash64("id", F.lit(seed)).alias("h"), *cols)
+        first = open_posts.groupBy("key").agg(F.min(rank).alias("f")).select(
+            F.col("key").alias("k"), *[F.col(f"f.{c}").alias(f"f_{c}") for c in cols])
+        named = (open_posts.join(first, F.col("key") == F.col("k")).where("comp <> f_comp")
                  .where(_may_link(num, den, "", "f_"))
                  .groupBy("id", "f_id").agg(F.count("*").alias("shared"), F.first(_asked(num, den, "", "f_")).alias("asked"))
                  .where("shared >= asked"))
         best = named.groupBy("id").agg(F.max_by("f_id", F.struct("shared", "f_id")).alias("a")).select(
             "a", F.col("id").alias("b"))
         links = links.unionByName(materialize(verify(best, texts, width, num, den), "links"))
-    comp = components(links, "anchor-components")
-    # what is left: classes that share prefix shingles over different components
-    cols = ("id", "n", "m", "at", "comp")
-    tagged = posts.join(comp, F.col("id") == F.col("node"), "left").select(
-        "key", "id", "n", "m", "at", F.coalesce("component", "id").alias("comp"))
-    mixed = tagged.groupBy("key").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select(F.col("key").alias("k"))
-    open_posts = materialize(tagged.join(mixed, F.col("key") == F.col("k")).drop("k"), "open")
+        # classes of one component need no further check among themselves: only
+        # shingles that meet different components stay open
+        comp = components(links, "anchor-components")
+        tagged = open_posts.drop("comp").join(comp, F.col("id") == F.col("node"), "left").select(
+            "key", "id", "n", "m", "at", F.coalesce("component", "id").alias("comp"))
+        mixed = tagged.groupBy("key").agg(
+            F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select(F.col("key").alias("k"))
+        open_posts = materialize(tagged.join(mixed, F.col("key") == F.col("k")).drop("k"), "open")
     left = open_posts.select("key", *[F.col(c).alias(f"x_{c}") for c in cols])
     right = open_posts.select(F.col("key").alias("k"), *[F.col(c).alias(f"y_{c}") for c in cols])
     asked = _asked(num, den, "x_", "y_")
