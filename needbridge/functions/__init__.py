@@ -13,4 +13,5 @@ from needbridge.functions.exprs import (  # noqa: F401
     row_sum_flags,
     safe_date,
     tier,
+    trim_spaces,
 )

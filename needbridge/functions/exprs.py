@@ -47,6 +47,15 @@ def safe_date(c: str | Column) -> Column:
     return F.when(ok, parsed)
 
 
+#: The characters that Unicode calls space separators.
+SPACES = " \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u202f\u205f\u3000"
+
+
+def trim_spaces(c: str | Column) -> Column:
+    """Trim every Unicode space separator, a no-break space too; tabs and newlines stay."""
+    return F.btrim(as_col(c), F.lit(SPACES))
+
+
 def false_if_null(pred: Column) -> Column:
     """SQL ``CASE WHEN pred THEN TRUE ELSE FALSE END``: null counts as false."""
     return F.coalesce(pred, F.lit(False))
@@ -90,7 +99,8 @@ def pct(n: str | Column, d: str | Column, digits: int = 2) -> Column:
 
 def round_half_even(c: str | Column, digits: int = 2) -> Column:
     """Banker's rounding of a double (the dataframe-library rounding)."""
-    return F.bround(as_col(c).cast("double"), digits)
+    scale = F.lit(float(10 ** digits))
+    return F.rint(as_col(c).cast("double") * scale) / scale
 
 
 def tier(

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from needbridge.functions import flag, pct, tier
+from needbridge.functions import flag, pct, round_half_even, tier
 from needbridge.operators.linkage import first_followup_after
 from needbridge.schemas import (
     DISENROLLED,
@@ -188,7 +188,7 @@ def gap_after_screening(
         F.count(F.lit(1)).alias("screened_with_need"),
         F.count_if(late).alias("unmet_within_30d"),
     )
-    rate = F.round(c("unmet_within_30d").cast("double")
+    rate = round_half_even(c("unmet_within_30d").cast("double")
                    / F.nullif(c("screened_with_need"), F.lit(0)).cast("double") * F.lit(100.0), 2)
     return agg.withColumn("service_gap_rate_pct", rate).orderBy(
         c("service_gap_rate_pct").desc_nulls_last(), *[c(g).asc_nulls_last() for g in group])
@@ -268,7 +268,7 @@ def risk_from_members(
         F.sum(c("__mk") * lapsed * s_rows).alias("coverage_lapsed"),
         F.sum(c("__mk") * lapsed * F.coalesce(c("__sh"), F.lit(0))).alias("lapsed_with_unmet_hrsn"),
     )
-    rate = F.round(c("lapsed_with_unmet_hrsn").cast("double")
+    rate = round_half_even(c("lapsed_with_unmet_hrsn").cast("double")
                    / F.nullif(c("total_members"), F.lit(0)).cast("double") * F.lit(100.0), 2)
     return agg.withColumn("high_risk_rate_pct", rate).orderBy(
         c("high_risk_rate_pct").desc_nulls_last(), *[c(g).asc_nulls_last() for g in group])

@@ -17,6 +17,7 @@ from needbridge.functions import (
     flag,
     row_sum_flags,
     safe_date,
+    trim_spaces,
 )
 from needbridge.schemas import (
     ALLOWED_TOOLS,
@@ -36,8 +37,8 @@ c = F.col
 def stage_members(raw: DataFrame) -> DataFrame:
     return raw.select(
         "member_id",
-        F.trim(c("first_name")).alias("first_name"),
-        F.trim(c("last_name")).alias("last_name"),
+        trim_spaces("first_name").alias("first_name"),
+        trim_spaces("last_name").alias("last_name"),
         safe_date("date_of_birth").alias("date_of_birth"),
         c("age").cast("int").alias("age"),
         F.coalesce(c("gender"), F.lit(UNKNOWN)).alias("gender"),

@@ -6,7 +6,8 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from needbridge.functions import allow_list, allow_list_violation, pct, row_sum_flags, safe_date, tier
+from needbridge.functions import (
+    allow_list, allow_list_violation, pct, round_half_even, row_sum_flags, safe_date, tier, trim_spaces)
 
 GOOD = ["2024-04-01", "2024-4-1", " 2024-04-01 ", "2024-04-01 10:00:00", "2024/04/01",
         "2024-04-01T10:00:00Z", "2024 04 01", "2024-04-01T10:00", "2024-04-01 10:00:00.123456",
@@ -76,3 +77,22 @@ def test_tiers(spark, n, label):
     df = spark.createDataFrame([(n, 100)], "n long, d long")
     tiers = [(0.25, "On track"), (0.15, "At risk")]
     assert df.select(tier("n", "d", tiers, "Behind milestone")).first()[0] == label
+
+
+def test_round_half_even_agrees_with_sql_engine(spark):
+    pairs = [(n, d) for d in (3, 7, 32, 160, 800) for n in range(d + 1)]
+    df = spark.createDataFrame(pairs, "n long, d long")
+    rate = F.col("n").cast("double") / F.col("d") * 100.0
+    got = {(r["n"], r["d"]): r["v"] for r in df.select("n", "d", round_half_even(rate).alias("v")).collect()}
+    con = duckdb.connect()
+    for n, d in pairs:
+        assert got[(n, d)] == con.execute(f"SELECT round_even({n}::DOUBLE / {d} * 100, 2)").fetchone()[0], (n, d)
+    assert got[(1, 32)] == 3.12
+
+
+def test_trim_spaces_agrees_with_sql_engine(spark):
+    texts = [" Ada ", " Ada ", " Ada　", "\tAda\n", " ", "", "A da", None]
+    got = [r["v"] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(
+        trim_spaces("t").alias("v")).collect()]
+    con = duckdb.connect()
+    assert got == [con.execute("SELECT trim(?::VARCHAR)", [t]).fetchone()[0] for t in texts]
