@@ -1,12 +1,12 @@
 """Near-duplicate line removal: exact set-similarity join with DataFrame functions only.
 
 A line is the set of its distinct five-word shingles (a shorter line is one
-shingle of all its words).  Shingles are ordered by the rarity of their rarest
-word; a line's first ``n - need + 1`` shingles are its prefix.  Two lines whose
-Jaccard similarity reaches 0.8 share a prefix shingle, have sizes that allow
-it, and share it early enough in both (positional filter); what is left is
-verified on the whole sets.  A line is removed when an earlier line, by
-(doc_id, line number), matches it.
+shingle of all its words).  Shingles are ordered by rarity, from the counts of
+all shingles in hash buckets; a line's first ``n - need + 1`` shingles are its
+prefix.  Two lines whose Jaccard similarity reaches 0.8 share a prefix shingle,
+have sizes that allow it, and share it early enough in both (positional
+filter); what is left is verified on the whole sets.  A line is removed when an
+earlier line, by (doc_id, line number), matches it.
 
 Equal sets are one entry, so copies never form pairs.  Near copies do not
 either: first each line is verified against the earliest line of each of its
@@ -15,6 +15,8 @@ prefix shingles, and only lines that stay are compared with all earlier ones.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,48 +24,51 @@ from needbridge.llm.common import materialize
 
 WIDTH = 5
 NUM, DEN = 80, 100
-#: Word counts are kept for this many hash buckets; they only order shingles.
-BUCKETS = 4096
+#: Shingle counts are kept for this many hash buckets; they only order shingles.
+BUCKETS = 1 << 14
 HASH_BITS = 51
 #: Ids of lines to verify are broadcast up to this many (12 bytes each); beyond it, joined by shuffle.
 BROADCAST_LINES = 2_000_000
+SPACE = " \t\r\n\x0b\x0c"
+
+
+def with_hashes(lines: DataFrame) -> DataFrame:
+    """``lines`` that hold words, with ``h``: the hashes of their words, a column of its own to be made once."""
+    trimmed = F.btrim("line", F.lit(SPACE))
+    return lines.where(trimmed != "").withColumn(
+        "h", F.transform(F.split(F.lower(trimmed), r"\s+"), lambda w: F.xxhash64(w)))
 
 
-def plain(text: Column) -> Column:
-    """Lower case, with a space for each white-space character."""
-    return F.translate(F.lower(text), "\t\r\n\x0b\x0c", "     ")
+def shingles() -> Column:
+    """Hashes of the runs of WIDTH words (of all words, if they are fewer: missing ones add nothing), in text order."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size("h") - WIDTH, F.lit(0)))
+    return F.transform(starts, lambda i: F.xxhash64(*[F.get(F.col("h"), i + j) for j in range(WIDTH)]))
 
 
-def rarity(docs: DataFrame) -> list[int]:
-    """Rank (0: rarest) of each hash bucket of words, from the counts of all words."""
-    counted = docs.select(F.explode(F.split(plain(F.col("text")), " ")).alias("w")).groupBy(
-        F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).cast("int").alias("bucket")).agg(F.count("*").alias("n")).collect()
-    n = {r["bucket"]: r["n"] for r in counted}
-    rank = {b: i for i, b in enumerate(sorted(range(BUCKETS), key=lambda b: (n.get(b, 0), b)))}
-    return [rank[b] for b in range(BUCKETS)]
+def rarity(docs: DataFrame) -> Column:
+    """Class (the higher, the more common) of each hash bucket of shingles, from the counts of all shingles."""
+    bucket = F.pmod(F.col("s"), F.lit(BUCKETS)).cast("int")
+    counted = (with_hashes(lines_of(docs)).select(F.explode(shingles()).alias("s"))
+               .groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")).collect())
+    classes = [0] * BUCKETS
+    for r in counted:
+        classes[r["bucket"]] = int(16 * math.log2(r["n"]))
+    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<int>")
 
 
-def with_keys(lines: DataFrame, ranks: Column) -> DataFrame:
+def with_keys(lines: DataFrame, classes: Column) -> DataFrame:
     """``lines`` that hold words, with ``keys``: their sorted distinct shingle keys, the rarest first.
 
-    A key is the rank of the shingle's rarest word, then the shingle's hash.
-    Word hashes are a column of their own, so that they are made once.
+    A key is the class of the shingle's bucket, then the shingle's hash.
     """
     low = F.lit((1 << HASH_BITS) - 1)
-    words = F.filter(F.split(plain(F.col("line")), " "), lambda w: w != "")
-    hashed = lines.where(F.trim(plain(F.col("line"))) != "").withColumn(
-        "h", F.transform(words, lambda w: F.xxhash64(w)))
-    ranked = hashed.withColumn("r", F.transform("h", lambda h: F.get(ranks, F.pmod(h, F.lit(BUCKETS)).cast("int"))))
 
-    def key(i: Column) -> Column:
-        rank = F.least(*[F.get(F.col("r"), i + j) for j in range(WIDTH)])
-        own = F.xxhash64(*[F.get(F.col("h"), i + j) for j in range(WIDTH)])
-        return F.shiftleft(rank.cast("long"), HASH_BITS).bitwiseOR(own.bitwiseAND(low))
+    def key(s: Column) -> Column:
+        common = F.coalesce(F.get(classes, F.pmod(s, F.lit(BUCKETS)).cast("int")), F.lit(0))
+        return F.shiftleft(common.cast("long"), HASH_BITS).bitwiseOR(s.bitwiseAND(low))
 
-    n = F.size("h")
-    every = F.sort_array(F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(n - WIDTH, F.lit(0))), key)))
-    whole = F.array(F.xxhash64(F.lit(0), F.col("h")).bitwiseAND(low))
-    return ranked.withColumn("keys", F.when(n >= WIDTH, every).otherwise(whole)).drop("h", "r")
+    return with_hashes(lines).withColumn(
+        "keys", F.sort_array(F.array_distinct(F.transform(shingles(), key)))).drop("h")
 
 
 def need(n: Column) -> Column:
@@ -88,40 +93,47 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     ``docs`` has doc_id (unique) and text.  Null ids and texts have no lines;
     lines without words match nothing.  Empty table: no rows.
     """
-    ranks = F.lit(rarity(docs))
-    keyed = with_keys(lines_of(docs), ranks).select("doc_id", "line_no", "keys")
+    classes = rarity(docs)
     n = F.size("keys")
-    entries = keyed.select(
+    entries = with_keys(lines_of(docs), classes).select("doc_id", "line_no", "keys").select(
         "doc_id", "line_no", n.alias("n"), F.xxhash64("keys").alias("k1"), F.hash("keys").alias("k2"),
         F.slice("keys", 1, n - need(n) + 1).alias("prefix"))
+    # the earliest line of each set: at most one row of a set and task is shuffled
     same = Window.partitionBy("k1", "k2", "n").orderBy("doc_id", "line_no")
-    entries = entries.withColumn("nth", F.row_number().over(same))
-    entries = materialize(entries.select(
-        "doc_id", "line_no", "n", "nth", F.when(F.col("nth") == 1, F.col("prefix")).alias("prefix")), "entries")
+    entries = materialize(entries.withColumn("nth", F.row_number().over(same)).where("nth = 1").select(
+        "doc_id", "line_no", "n", "prefix"), "entries")
     # sets of up to three shingles have no match but equals
-    posts = entries.where("nth = 1 and n > 3").select(
-        "doc_id", "line_no", "n", F.posexplode("prefix").alias("at", "key"))
+    posts = entries.where("n > 3").select("doc_id", "line_no", "n", F.posexplode("prefix").alias("at", "key"))
+    shared = posts.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select(F.col("key").alias("k"))
+    busy = materialize(posts.join(shared, F.col("key") == F.col("k")).drop("k"), "busy")
     place = F.struct("doc_id", "line_no", "n", "at")
-    firsts = posts.groupBy("key").agg(F.count("*").alias("c"), F.min(place).alias("f")).where("c > 1").select(
+    firsts = busy.groupBy("key").agg(F.min(place).alias("f")).select(
         F.col("key").alias("k"), *[F.col(f"f.{c}").alias(f"f_{c}") for c in ("doc_id", "line_no", "n", "at")])
-    busy = materialize(posts.join(firsts, F.col("key") == F.col("k")).drop("k"), "busy")
+    busy = materialize(busy.join(firsts, F.col("key") == F.col("k")).drop("k"), "busy-firsts")
     named = busy.where(
         "doc_id <> f_doc_id or line_no <> f_line_no").where(_may_match("", "f_")).select(
         "doc_id", "line_no", F.col("f_doc_id").alias("e_doc"), F.col("f_line_no").alias("e_line")).distinct()
-    first_gone = materialize(verified(docs, materialize(named, "named"), ranks), "gone")
+    first_gone = materialize(verified(docs, materialize(named, "named"), classes), "gone")
     x = busy.join(first_gone.select(F.col("doc_id").alias("g"), F.col("line_no").alias("gl")),
                   (F.col("doc_id") == F.col("g")) & (F.col("line_no") == F.col("gl")), "left_anti").where(
         "doc_id <> f_doc_id or line_no <> f_line_no").select("key", "doc_id", "line_no", "n", "at")
     y = busy.select(F.col("key").alias("e_key"), F.col("doc_id").alias("e_doc"), F.col("line_no").alias("e_line"),
                     F.col("n").alias("e_n"), F.col("at").alias("e_at"))
     earlier = (F.col("e_doc") < F.col("doc_id")) | ((F.col("e_doc") == F.col("doc_id")) & (F.col("e_line") < F.col("line_no")))
-    pairs = x.join(y, (F.col("key") == F.col("e_key")) & earlier & _may_match("", "e_")).select(
-        "doc_id", "line_no", "e_doc", "e_line").distinct()
-    later_gone = verified(docs, materialize(pairs, "pairs"), ranks)
-    return entries.where("nth > 1").select("doc_id", "line_no").unionByName(first_gone).unionByName(later_gone)
-
-
-def verified(docs: DataFrame, pairs: DataFrame, ranks: Column) -> DataFrame:
+    left = F.least(F.col("n") - F.col("last"), F.col("e_n") - F.col("e_last")) - 1
+    pairs = (x.join(y, (F.col("key") == F.col("e_key")) & earlier & _may_match("", "e_"))
+             .groupBy("doc_id", "line_no", "e_doc", "e_line", "n", "e_n")
+             .agg(F.count("*").alias("shared"), F.max("at").alias("last"), F.max("e_at").alias("e_last"))
+             .where((F.col("shared") + left) * (NUM + DEN) >= (F.col("n") + F.col("e_n")) * NUM)
+             .select("doc_id", "line_no", "e_doc", "e_line"))
+    later_gone = verified(docs, materialize(pairs, "pairs"), classes)
+    stay = entries.join(first_gone.unionByName(later_gone), ["doc_id", "line_no"], "left_anti").select(
+        F.col("doc_id").alias("s_doc"), F.col("line_no").alias("s_line"))
+    return with_hashes(lines_of(docs)).select("doc_id", "line_no").join(
+        stay, (F.col("doc_id") == F.col("s_doc")) & (F.col("line_no") == F.col("s_line")), "left_anti")
+
+
+def verified(docs: DataFrame, pairs: DataFrame, classes: Column) -> DataFrame:
     """(doc_id, line_no) of the lines that match in one of the ``pairs`` (doc_id, line_no, e_doc, e_line) at least."""
     wanted = pairs.select("doc_id", "line_no").union(pairs.select("e_doc", "e_line")).distinct().select(
         F.col("doc_id").alias("w_doc"), F.col("line_no").alias("w_line"))
@@ -129,7 +141,7 @@ def verified(docs: DataFrame, pairs: DataFrame, ranks: Column) -> DataFrame:
     side = F.broadcast(wanted) if wanted.count() <= BROADCAST_LINES else wanted
     lines = lines_of(docs).join(
         side, (F.col("doc_id") == F.col("w_doc")) & (F.col("line_no") == F.col("w_line")), "left_semi")
-    sets = with_keys(lines, ranks).select(
+    sets = with_keys(lines, classes).select(
         F.col("doc_id").alias("s_doc"), F.col("line_no").alias("s_line"), "keys")
     mine = sets.withColumnRenamed("keys", "x")
     other = sets.select(F.col("s_doc").alias("o_doc"), F.col("s_line").alias("o_line"), F.col("keys").alias("y"))
