@@ -11,9 +11,9 @@ is verified if it shares as many shingles as a linked pair of these sizes must
 share within both prefixes: min(m, m') at least, and more the closer the sizes.
 
 Copies (equal sets) become one class first.  Groups of near copies are never
-expanded into all pairs: in ``ANCHOR_ROUNDS`` rounds each class is verified
+expanded into all pairs: in ``ANCHOR_ROUNDS`` rounds, all at once, each class is verified
 against the class that most of its prefix shingles name as their anchor (one
-check per class and round).  Then only candidates of different components are
+check per class and round at most).  Then only candidates of different components are
 verified, all of them; a prefix shingle whose classes are in one component
 already brings none.  So components are exact.
 """
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from needbridge.llm import textkeys as tk
-from needbridge.llm.common import components, materialize, materialize_bucketed
+from needbridge.llm.common import components, materialize
 
 WIDTH = 4
 NUM, DEN = 85, 100
@@ -45,6 +45,8 @@ COMMON_SHINGLES = 20_000
 MIN_IN_BATCH = 4
 #: Classes that one verification task holds beside an anchor.
 MEMBERS_PER_GROUP = 64
+#: Ids whose texts are wanted are broadcast up to this many (8 bytes each); beyond it, joined by shuffle.
+BROADCAST_IDS = 2_000_000
 
 
 def shingles_of(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -127,27 +129,33 @@ def signatures(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
         run, "doc_id long, n_shingles long, set_key binary, m int, prefix array<long>")
 
 
-def packed_texts(docs: DataFrame) -> DataFrame:
-    """(id, packed): compressed texts, for documents that verification needs."""
+def packed_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, packed): compressed texts of the documents whose id ``wanted`` (w) holds."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             packed = [pack((t.as_py() or "").encode()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["id", "packed"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "id long, packed binary")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    if wanted.count() <= BROADCAST_IDS:
+        return texts.join(F.broadcast(wanted), F.col("id") == F.col("w"), "left_semi").mapInArrow(
+            run, "id long, packed binary")
+    return texts.mapInArrow(run, "id long, packed binary").join(wanted, F.col("id") == F.col("w"), "left_semi")
 
 
 def _unpacked(packed: bytes, width: int) -> np.ndarray:
     return shingles_of(zstandard.ZstdDecompressor().decompress(packed).decode(), width)
 
 
-def verify(pairs: DataFrame, texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """The ``pairs`` (a, b) whose documents link.  ``texts``: rows (id, packed), one per id.
+def verify(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """The ``pairs`` (a, b) whose documents link.
 
     The partners of a are dealt out in groups of at most MEMBERS_PER_GROUP, and
     a's text goes to each group, so a hot a is split over many tasks.
     """
+    wanted = materialize(pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct(), "wanted")
+    texts = packed_texts(docs, wanted)
     numbered = pairs.select(
         "a", "b", F.pmod(F.xxhash64("b"), F.lit(1 << 30)).alias("h")).join(
         pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS_PER_GROUP).alias("parts")).select(
@@ -202,9 +210,25 @@ def _may_link(num: int, den: int, x: str, y: str) -> Column:
     return (F.least(xn, yn) * den >= F.greatest(xn, yn) * num) & (late <= _asked(num, den, x, y) - 1)
 
 
+def anchor_pairs(posts: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b): each class b with the anchor a that most of its shingles name, for each round."""
+    # the anchors of a shingle: the classes that seeded hashes put first
+    ranks = [F.struct(F.xxhash64("id", F.lit(seed)).alias("h"), "id", "n", "at", "m") for seed in range(ANCHOR_ROUNDS)]
+    firsts = posts.groupBy("key").agg(*[F.min(r).alias(f"f{i}") for i, r in enumerate(ranks)]).select(
+        F.col("key").alias("k"), F.array(*[f"f{i}" for i in range(ANCHOR_ROUNDS)]).alias("firsts"))
+    named = (posts.join(firsts, F.col("key") == F.col("k"))
+             .select("id", "n", "at", "m", F.posexplode("firsts").alias("seed", "f")).where("id <> f.id")
+             .select("id", "n", "at", "m", "seed", *[F.col(f"f.{c}").alias(f"f_{c}") for c in ("id", "n", "at", "m")])
+             .where(_may_link(num, den, "", "f_"))
+             .groupBy("id", "seed", "f_id")
+             .agg(F.count("*").alias("shared"), F.first(_asked(num, den, "", "f_")).alias("asked"))
+             .where("shared >= asked"))
+    return named.groupBy("id", "seed").agg(F.max_by("f_id", F.struct("shared", "f_id")).alias("a")).select(
+        "a", F.col("id").alias("b")).distinct()
+
+
 def class_links(sigs: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """(classes (set_key, id), components (node, component) of the class ids that have links)."""
-    spark = docs.sparkSession
     # copies: the smallest doc_id stands for its class
     classes = materialize(sigs.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("id")), "classes")
     posts = sigs.join(classes.select("id"), F.col("doc_id") == F.col("id"), "left_semi").select(
@@ -212,21 +236,10 @@ def class_links(sigs: DataFrame, docs: DataFrame, width: int, num: int, den: int
         F.posexplode("prefix").alias("at", "key"))
     busy = posts.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select(F.col("key").alias("k"))
     posts = materialize(posts.join(busy, F.col("key") == F.col("k")).drop("k"), "posts")
-    wanted = posts.select(F.col("id").alias("w")).distinct()
-    texts = materialize_bucketed(packed_texts(docs).join(wanted, F.col("id") == F.col("w"), "left_semi"), "id", "texts")
-    links = spark.createDataFrame([], "a long, b long")
-    for seed in range(ANCHOR_ROUNDS):
-        # the anchor of a shingle: the class that a seeded hash puts first
-        rank = F.struct(F.xxhash64("id", F.lit(seed)).alias("h"), "id", "n", "at", "m")
-        first = posts.groupBy("key").agg(F.min(rank).alias("f")).select(
-            F.col("key").alias("k"), *[F.col(f"f.{c}").alias(f"f_{c}") for c in ("id", "n", "at", "m")])
-        named = (posts.join(first, F.col("key") == F.col("k")).where("id <> f_id")
-                 .where(_may_link(num, den, "", "f_"))
-                 .groupBy("id", "f_id").agg(F.count("*").alias("shared"), F.first(_asked(num, den, "", "f_")).alias("asked"))
-                 .where("shared >= asked"))
-        best = named.groupBy("id").agg(F.max_by("f_id", F.struct("shared", "f_id")).alias("a")).select(
-            "a", F.col("id").alias("b"))
-        links = links.unionByName(materialize(verify(best, texts, width, num, den), "links"))
+    links = posts.sparkSession.createDataFrame([], "a long, b long")
+    if ANCHOR_ROUNDS:
+        links = materialize(
+            verify(materialize(anchor_pairs(posts, num, den), "anchors"), docs, width, num, den), "links")
     comp = components(links, "anchor-components")
     # what is left: classes that share prefix shingles over different components
     cols = ("id", "n", "m", "at", "comp")
@@ -243,7 +256,7 @@ def class_links(sigs: DataFrame, docs: DataFrame, width: int, num: int, den: int
              .groupBy(F.col("x_id").alias("a"), F.col("y_id").alias("b"))
              .agg(F.count("*").alias("shared"), F.first(asked).alias("asked"))
              .where("shared >= asked").select("a", "b"))
-    links = links.unionByName(materialize(verify(materialize(pairs, "pairs"), texts, width, num, den), "links"))
+    links = links.unionByName(materialize(verify(materialize(pairs, "pairs"), docs, width, num, den), "links"))
     return classes, components(links, "components")
 
 
