@@ -41,16 +41,6 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialize_bucketed(df: DataFrame, key: str, tag: str) -> DataFrame:
-    """Write ``df`` bucketed by ``key``, so that joins on it move only the other side."""
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"{tag}_{uuid.uuid4().hex}"
-    (df.repartition(n, key).write.bucketBy(n, key).sortBy(key)
-     .option("path", scratch_path(spark, tag)).saveAsTable(name))
-    return spark.table(name)
-
-
 def drop_scratch(spark: SparkSession) -> None:
     """Remove every table that this application wrote with ``materialize``."""
     jvm = spark.sparkContext._jvm
