@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Words whose hash a worker keeps; the table is emptied beyond it (it is only a cache).
-CACHED_WORDS = 400_000
+CACHED_WORDS = 100_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
