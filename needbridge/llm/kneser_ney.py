@@ -7,7 +7,9 @@ keyed by (language, n-gram).  Scoring asks for each n-gram once per chunk of
 documents: the chunks' distinct n-grams are joined with the sharded model, and
 each chunk's answers meet its texts again in one co-group.  A document is
 rejected when its perplexity is above its language's threshold: a high quantile
-of the trusted documents' perplexities.
+of the trusted documents' held-out perplexities.  For these, trusted documents
+are dealt into folds by a hash of their id, and each fold is scored by a model
+of the other folds, whose counts are all counts minus the fold's.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from needbridge.llm.common import materialize
 ORDER = 4
 #: Share of a language's trusted documents that lies below its threshold.
 KEEP_QUANTILE = 0.995
+#: Folds of the held-out perplexities; at most 9, one digit in a model's key.
+FOLDS = 5
 #: Characters of a chunk, about: what one scoring task holds.
 CHUNK_CHARS = 24_000_000
 #: Characters that a task turns into n-gram keys at once.
@@ -97,21 +101,35 @@ def _language(docs: DataFrame) -> DataFrame:
                        F.coalesce("lang", F.lit("")).alias("lang"))
 
 
+def _key(fold: F.Column | str) -> F.Column:
+    """Key of a model: the fold it leaves out, none for the model of all folds, and the language."""
+    return F.concat(fold if isinstance(fold, F.Column) else F.lit(fold), F.lit(":"), F.col("lang")).alias("lang")
+
+
+def _fold() -> F.Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("string")
+
+
 def count_grams(docs: DataFrame) -> DataFrame:
-    """(lang, gram, n) over all ``docs``."""
+    """(lang, gram, n) for each model: lang is its key, n counts all ``docs`` but those of the fold left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            by_lang: dict[str, list[str]] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                by_lang.setdefault(lang, []).append(prepared(text.as_py()))
-            for lang, texts in by_lang.items():
+            by_key: dict[tuple[str, str], list[str]] = {}
+            for lang, fold, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                by_key.setdefault((lang, fold), []).append(prepared(text.as_py()))
+            for (lang, fold), texts in by_key.items():
                 grams, n = distinct_grams(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array(n, pa.int64())],
-                    names=["lang", "gram", "n"])
+                    [pa.array([lang] * len(grams), pa.string()), pa.array([fold] * len(grams), pa.string()),
+                     pa.array(grams, pa.string()), pa.array(n, pa.int64())], names=["lang", "fold", "gram", "n"])
 
-    return docs.select("lang", "text").mapInArrow(run, "lang string, gram string, n long").groupBy(
-        "lang", "gram").agg(F.sum("n").alias("n"))
+    folds = [str(f) for f in range(FOLDS)]
+    sums = docs.select("lang", _fold().alias("fold"), "text").mapInArrow(
+        run, "lang string, fold string, gram string, n long").groupBy("lang", "gram").agg(
+        F.sum("n").alias("total"), *[F.sum(F.when(F.col("fold") == f, F.col("n")).otherwise(0)).alias(f"n{f}") for f in folds])
+    counts = F.array(F.struct(_key(""), F.col("total").alias("n")),
+                     *[F.struct(_key(f), (F.col("total") - F.col(f"n{f}")).alias("n")) for f in folds])
+    return sums.select("gram", F.explode(counts).alias("of")).select("of.lang", "gram", "of.n").where("n > 0")
 
 
 def _discounts(counts: DataFrame) -> DataFrame:
@@ -209,13 +227,12 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, str, list[
         first += 1
 
 
-def perplexities(docs: DataFrame, tables: tuple) -> DataFrame:
+def perplexities(texts: DataFrame, tables: tuple) -> DataFrame:
     """(doc_id, lang, perplexity); null for texts without characters.
 
-    ``docs`` is a table (doc_id, text, lang), read twice in the same order.
+    ``texts`` is (doc_id, text, lang), lang a model's key; it is read twice in
+    the same order.
     """
-    texts = _language(docs)
-
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, lang, _, held in _chunks(batches):
             grams, _ = distinct_grams(held)
@@ -281,13 +298,21 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = KEEP_QUANTILE) -
     without characters have no perplexity and are kept.  Empty table: no rows.
     """
     ids = materialize(trusted_ids(labels), "trusted")
-    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    few = ids.count() <= BROADCAST_IDS
+    side = F.broadcast(ids) if few else ids
     texts = _language(docs)
     trusted = texts.join(side, F.col("doc_id") == F.col("trusted_id"), "left_semi")
     tables = model(materialize(count_grams(trusted), "counts"))
-    scored = materialize(perplexities(docs, tables), "perplexities")
-    by_lang = scored.join(ids, F.col("doc_id") == F.col("trusted_id"), "left_semi").groupBy("lang").agg(
+    models = F.when(F.col("trusted_id").isNull(), F.array(_key(""))).otherwise(F.array(_key(""), _key(_fold())))
+    asked = texts.join(side, F.col("doc_id") == F.col("trusted_id"), "left").select(
+        "doc_id", "text", F.explode(models).alias("lang"))
+    asked = asked if few else materialize(asked, "asked-texts")  # a shuffle keeps no order
+    scored = materialize(perplexities(asked, tables), "perplexities").select(
+        "doc_id", F.expr("substring(lang, locate(':', lang) + 1)").alias("lang"), "perplexity",
+        (~F.col("lang").startswith(":")).alias("held_out"))
+    by_lang = scored.where("held_out").groupBy("lang").agg(
         F.percentile_approx("perplexity", quantile, 10_000).alias("own_threshold")).withColumnRenamed("lang", "t_lang")
+    scored = scored.where("not held_out")
     most = by_lang.agg(F.max("own_threshold")).first()[0]
     threshold = F.coalesce("own_threshold", F.lit(most).cast("double"))
     return scored.join(by_lang, F.col("lang") == F.col("t_lang"), "left").select(

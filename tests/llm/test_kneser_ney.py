@@ -91,3 +91,24 @@ def test_keep_good_keeps_columns_and_handles_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert kn.keep_good(docs, none).count() == len(rows)
     assert kn.judge(docs.limit(0), lab).count() == 0
+
+
+def test_threshold_is_of_held_out_perplexities(spark):
+    rnd = random.Random(4)
+    syllables = "ka mo ri te lu sa ne po vi du".split()
+    vocabulary = ["".join(rnd.choice(syllables) for _ in range(3)) for _ in range(400)]
+    rows = [(i, " ".join(rnd.choice(vocabulary) for _ in range(80)), "xx", "s", 0) for i in range(60)]
+    rows += [(i, "".join(rnd.choice("#%&XQZ|! ") for _ in range(400)), "xx", "s", 0) for i in range(60, 70)]
+    labels = [(i, 1, 0) for i in range(8)]
+    docs = spark.createDataFrame(rows, DOC_SCHEMA)
+    got = {r.doc_id: r for r in kn.judge(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    assert len(got) == 70
+    fold = {r.doc_id: r.f for r in docs.select("doc_id", kn._fold().alias("f")).collect()}
+    held = []
+    for i in range(8):
+        p, t = brute_model([rows[j][1] for j in range(8) if fold[j] != fold[i]]), kn.prepared(rows[i][1])
+        logs = [math.log(p(t[j - kn.ORDER + 1:j + 1])) for j in range(kn.ORDER - 1, len(t))]
+        held.append(math.exp(-sum(logs) / len(logs)))
+    assert math.isclose(got[0].threshold, max(held), rel_tol=1e-3)
+    assert sum(got[i].kept for i in range(8, 60)) > 45
+    assert not any(got[i].kept for i in range(60, 70))
