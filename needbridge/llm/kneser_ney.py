@@ -184,7 +184,10 @@ def model(counts: DataFrame) -> tuple[dict[int, DataFrame], dict[int, DataFrame]
 
 
 def gram_log_probs(grams: DataFrame, tables: tuple) -> DataFrame:
-    """(lang, gram, logp) of distinct ``grams`` (lang, gram): back off until a known suffix is met."""
+    """(lang, gram, logp) of distinct ``grams`` (lang, gram): back off until a known suffix is met.
+
+    ``logp`` is null where the language has no model.
+    """
     probs, weights, unknown = tables
     rows = grams.select(F.col("lang").alias("r_lang"), "gram", F.col("gram").alias("suffix"),
                         F.lit(1.0).alias("w"), F.lit(None).cast("double").alias("p"))
@@ -200,7 +203,7 @@ def gram_log_probs(grams: DataFrame, tables: tuple) -> DataFrame:
                 "p")
     return rows.join(unknown, F.col("r_lang") == F.col("u_lang"), "left").select(
         F.col("r_lang").alias("lang"), "gram",
-        F.log(F.coalesce("p", F.col("w") * F.col("p_unknown"), F.lit(1.0 / ALPHABET))).cast("float").alias("logp"))
+        F.log(F.coalesce("p", F.col("w") * F.col("p_unknown"))).cast("float").alias("logp"))
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, str, list[int], list[str]]]:
@@ -228,7 +231,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, str, list[
 
 
 def perplexities(texts: DataFrame, tables: tuple) -> DataFrame:
-    """(doc_id, lang, perplexity); null for texts without characters.
+    """(doc_id, lang, perplexity); null for texts without characters or without a model.
 
     ``texts`` is (doc_id, text, lang), lang a model's key; it is read twice in
     the same order.
@@ -293,8 +296,9 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = KEEP_QUANTILE) -
 
     ``docs`` has doc_id, text and lang, ``labels`` doc_id, quality and toxic.
     Trusted are the documents labelled good and not toxic.  A null lang is a
-    language of its own.  A language without trusted documents takes the
-    greatest threshold; if there is none at all, everything is kept.  Texts
+    language of its own.  Documents of a language without trusted ones are not
+    judged: no perplexity, no threshold, kept.  A language whose trusted
+    documents are all in one fold has no threshold and is kept too.  Texts
     without characters have no perplexity and are kept.  Empty table: no rows.
     """
     ids = materialize(trusted_ids(labels), "trusted")
@@ -313,11 +317,9 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = KEEP_QUANTILE) -
     by_lang = scored.where("held_out").groupBy("lang").agg(
         F.percentile_approx("perplexity", quantile, 10_000).alias("own_threshold")).withColumnRenamed("lang", "t_lang")
     scored = scored.where("not held_out")
-    most = by_lang.agg(F.max("own_threshold")).first()[0]
-    threshold = F.coalesce("own_threshold", F.lit(most).cast("double"))
     return scored.join(by_lang, F.col("lang") == F.col("t_lang"), "left").select(
-        "doc_id", F.nullif("lang", F.lit("")).alias("lang"), "perplexity", threshold.alias("threshold"),
-        F.coalesce(F.col("perplexity") <= threshold, F.lit(True)).alias("kept"))
+        "doc_id", F.nullif("lang", F.lit("")).alias("lang"), "perplexity", F.col("own_threshold").alias("threshold"),
+        F.coalesce(F.col("perplexity") <= F.col("own_threshold"), F.lit(True)).alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = KEEP_QUANTILE) -> DataFrame:

@@ -112,3 +112,12 @@ def test_threshold_is_of_held_out_perplexities(spark):
     assert math.isclose(got[0].threshold, max(held), rel_tol=1e-3)
     assert sum(got[i].kept for i in range(8, 60)) > 45
     assert not any(got[i].kept for i in range(60, 70))
+
+
+def test_languages_without_a_model_are_not_judged(spark):
+    rows, labels = corpus()
+    docs = spark.createDataFrame(rows, DOC_SCHEMA)
+    got = {r.doc_id: r for r in kn.judge(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    for i in (202, 203):
+        assert got[i].kept and got[i].perplexity is None and got[i].threshold is None
+    assert [got[202].lang, got[203].lang] == [None, "de"]
