@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 from needbridge.llm.common import materialize
 
 #: Elements whose text is never shown as such, void elements, blocks, and boilerplate by name or mark.
-_SILENT = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "select", "button", "head", "title")
+_RAW = ("script", "style", "textarea", "iframe", "title")
+_SILENT = frozenset("noscript template svg math object select button head".split())
+_HEAD = frozenset("base link meta noscript template script style title basefont bgsound noframes".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("""address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
@@ -42,19 +44,40 @@ complementary navigation search alert reply replies discussion respond""".split(
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>%s)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>" % "|".join(_SILENT),
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>" % "|".join(_RAW),
     re.S | re.I)
 _MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_SILENT_TAG = re.compile(r"<(/?)(%s)\b(?!(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>)" % "|".join(sorted(_SILENT - {"head"})), re.I)
 #: A path whose text is the same on so many pages or more, outside an article, is the host's own.
 SAME_ON = 3
 
 
+def _unclosed(html: str) -> set[int]:
+    """Places of the silent elements' start tags that no end tag answers."""
+    open_: dict[str, list[int]] = {}
+    out: set[int] = set()
+    for m in _SILENT_TAG.finditer(html):
+        name = m[2].lower()
+        if m[1]:
+            if open_.get(name):
+                open_[name].pop()
+        else:
+            if name in ("button", "select", "noscript"):  # these hold none of their kind
+                out.update(open_.pop(name, ()))
+            open_.setdefault(name, []).append(m.start())
+    return out.union(*open_.values())
+
+
 def blocks_of(html: str) -> Iterator[tuple[str, str, int]]:
     """(path, text, characters in links) of each text block in page order.
 
     A path names the open block elements with their class, id and role marks,
-    e.g. ``/html/body/div.ad``.
+    e.g. ``/html/body/div.ad``.  Text in silent elements is left out: until their
+    end tag or the end of the block around them, without an end tag until the
+    next block tag, and in a head until the first tag or text that cannot be in one.
     """
+    silent: list[tuple[str, int, bool]] = []  # open silent elements: name, blocks open around it, closed
+    unclosed: set[int] | None = None
     stack: list[str] = []  # labels of open block elements
     held: list[str] = []
     linked = depth = last = 0
@@ -69,7 +92,9 @@ def blocks_of(html: str) -> Iterator[tuple[str, str, int]]:
 
     def text_until(stop: int) -> None:
         nonlocal linked
-        if stop > last:
+        if stop > last and silent and silent[-1][0] == "head" and html[last:stop].strip():
+            silent.pop()
+        if stop > last and not silent:
             held.append(html[last:stop])
             linked += (stop - last) if depth else 0
 
@@ -79,19 +104,39 @@ def blocks_of(html: str) -> Iterator[tuple[str, str, int]]:
         tag = (m["tag"] or "").lower()
         if not tag:
             continue
+        if silent and silent[-1][0] == "head" and tag not in _HEAD:
+            silent.pop()
+        if tag in _SILENT:
+            if m["end"]:
+                names = [name for name, _, _ in silent]
+                if tag in names:
+                    del silent[len(names) - 1 - names[::-1].index(tag):]
+            elif tag == "head":
+                silent.append((tag, len(stack), True))
+            elif not (tag in ("svg", "math") and m["attrs"].rstrip().endswith("/")):
+                unclosed = _unclosed(html) if unclosed is None else unclosed
+                silent.append((tag, len(stack), m.start() not in unclosed))
+            continue
+        if tag in _BLOCK:
+            while silent and not silent[-1][2]:
+                silent.pop()
         if tag == "a":
             depth = 0 if m["end"] else 1
         elif tag == "br":
-            held.append(" ")
+            held.append(" " if not silent else "")
         elif tag in _BLOCK:
-            yield from flush()
+            if not silent or (m["end"] and any(x.partition(".")[0] == tag for x in stack[:silent[0][1]])
+                              and not any(x.partition(".")[0] == tag for x in stack[silent[0][1]:])):
+                yield from flush()
             if m["end"]:
                 names = [label.partition(".")[0] for label in stack]
                 if tag in names:
                     del stack[len(names) - 1 - names[::-1].index(tag):]
+                    while silent and silent[-1][1] > len(stack):
+                        silent.pop()
             elif tag not in _VOID:
                 top = stack[-1].partition(".")[0] if stack else ""
-                if top == "p" or top in _CLOSES.get(tag, ()):
+                if len(stack) > (silent[-1][1] if silent else 0) and (top == "p" or top in _CLOSES.get(tag, ())):
                     stack.pop()
                 if tag == "tr" and stack and stack[-1].partition(".")[0] == "tr":
                     stack.pop()

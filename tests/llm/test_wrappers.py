@@ -51,3 +51,13 @@ def test_odd_markup_and_empty_table(spark):
     assert [t for _, t, _ in w.blocks_of("a < b <p>x<p>y</div></p><li>1<li>2<!-- open")] == ["a < b", "x", "y", "1", "2"]
     assert list(w.blocks_of("<script>never closed <p>x")) == []
     assert run(spark, []) == {}
+
+
+def test_missing_end_tags_of_silent_elements():
+    texts = lambda html: [t for _, t, _ in w.blocks_of(html)]
+    assert texts("<html><head><title>t</title><body><article><p>a</article>") == ["a"]
+    assert texts("<head><title>t</title><meta charset=x><script>s</script>a<p>b") == ["a", "b"]
+    assert texts("<p>a<svg width=1 /></p><p>b</p><svg><title>x</title><text>no</text></svg><p>c</p>") == ["a", "b", "c"]
+    for name in ("button", "select", "object", "noscript"):
+        assert texts(f"<div><p>a<{name}>no</p><p>b</p></div><p>c<{name}>no</{name}> d</p>") == ["a", "b", "c d"], name
+    assert texts("<div><p>a</p><noscript><div><p>no</p></div></noscript><p>b</p></div>") == ["a", "b"]
