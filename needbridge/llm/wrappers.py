@@ -6,8 +6,8 @@ another: what both have is merged, what one lacks becomes optional, what
 repeats becomes a repeated group, differing text a slot.  The result is a
 union-free wrapper of the host.  Each of its paths carries how many pages
 have it, how much of its text is links, and whether its text is the same on
-all of them; from this the wrapper marks the content paths, and extraction
-reads every page's blocks through the marks of its host.
+all of them; from this the host's own paths are marked.  Extraction takes each
+page's article, else its main, else its blocks that are not marked.
 
 Distinct skeletons and path statistics are aggregated before any host's rows
 meet, so a host with a third of all pages is a few rows.
@@ -228,17 +228,14 @@ def _boiler(path: str) -> bool:
     return False
 
 
-def content_paths(wrapper: list, stats: dict[str, tuple[int, int, int, bool]]) -> list[str]:
-    """Paths of the wrapper whose text is content.
-
-    ``stats``: path -> (pages, characters, characters in links, same text everywhere).
-    """
-    open_ = [p for p in dict.fromkeys(paths_of(wrapper)) if p in stats and not _boiler(p)]
-    for name in ("article", "main"):
-        own = [p for p in open_ if re.search(rf"/{name}(\.|/|$)", p)]
-        if own:
-            return own
-    return [p for p in open_ if not (stats[p][3] and stats[p][0] >= SAME_ON) and stats[p][2] * 2 <= stats[p][1]]
+def content_texts(found: list[tuple[str, str, int]], own: frozenset) -> list[str]:
+    """Texts of a page's content blocks: its article, else its main, else what is not in ``own``, the host's paths."""
+    open_ = {p for p, _, _ in found if not _boiler(p)}
+    chosen = open_ - own
+    for name in ("main", "article"):
+        inside = {p for p in open_ if re.search(rf"/{name}(\.|/|$)", p)}
+        chosen = inside or chosen
+    return [t for p, t, _ in found if p in chosen]
 
 
 def _host() -> F.Column:
@@ -246,7 +243,11 @@ def _host() -> F.Column:
 
 
 def infer(pages: DataFrame) -> DataFrame:
-    """(w_host, wrapper, marks): each host's wrapper and its content paths, both as JSON."""
+    """(w_host, wrapper, marks): each host's wrapper and its own paths, both as JSON.
+
+    A path is the host's own if its text is the same on all its pages, SAME_ON
+    or more of different content, or mostly links.
+    """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             skeletons: dict[tuple[str, str], int] = {}
@@ -260,21 +261,26 @@ def infer(pages: DataFrame) -> DataFrame:
                     s = own.setdefault(path, [0, 0, []])
                     s[0], s[1] = s[0] + len(text), s[1] + linked
                     s[2].append(text)
+                content = xxhash.xxh64_intdigest(page.as_py() or "") >> 1
                 for path, (size, linked, texts) in own.items():
                     h = xxhash.xxh64_intdigest("\n".join(texts)) >> 1
-                    s = paths.setdefault((host, path), [0, 0, 0, h, h])
+                    s = paths.setdefault((host, path), [0, 0, 0, h, h, set()])
                     s[0], s[1], s[2], s[3], s[4] = s[0] + 1, s[1] + size, s[2] + linked, min(s[3], h), max(s[4], h)
-            rows = [(host, s, "", n, 0, 0, 0, 0) for (host, s), n in skeletons.items()]
-            rows += [(host, "", path, *s) for (host, path), s in paths.items()]
-            cols = list(zip(*rows)) or [[]] * 8
+                    if len(s[5]) < SAME_ON:
+                        s[5].add(content)
+            rows = [(host, s, "", n, 0, 0, 0, 0, []) for (host, s), n in skeletons.items()]
+            rows += [(host, "", path, *s[:5], sorted(s[5])) for (host, path), s in paths.items()]
+            cols = list(zip(*rows)) or [[]] * 9
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.string()) for c in cols[:3]] + [pa.array(c, pa.int64()) for c in cols[3:]],
-                names=["host", "skeleton", "path", "pages", "size", "linked", "lo", "hi"])
+                [pa.array(c, pa.string()) for c in cols[:3]] + [pa.array(c, pa.int64()) for c in cols[3:8]]
+                + [pa.array(cols[8], pa.list_(pa.int64()))],
+                names=["host", "skeleton", "path", "pages", "size", "linked", "lo", "hi", "contents"])
 
     seen = pages.select(_host().alias("host"), "html").mapInArrow(
-        read, "host string, skeleton string, path string, pages long, size long, linked long, lo long, hi long")
+        read, "host string, skeleton string, path string, pages long, size long, linked long, lo long, hi long, contents array<long>")
     seen = materialize(seen.groupBy("host", "skeleton", "path").agg(
-        *[F.sum(c).alias(c) for c in ("pages", "size", "linked")], F.min("lo").alias("lo"), F.max("hi").alias("hi")), "seen")
+        *[F.sum(c).alias(c) for c in ("pages", "size", "linked")], F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("contents")))).alias("contents")), "seen")
 
     def partial(rows: pd.DataFrame) -> pd.DataFrame:
         trees = [json.loads(s) for s in sorted(rows["skeleton"])]
@@ -285,18 +291,12 @@ def infer(pages: DataFrame) -> DataFrame:
 
     trees = seen.where("path = ''").select("host", "skeleton", F.pmod(F.xxhash64("skeleton"), F.lit(64)).alias("part"))
     trees = trees.groupBy("host", "part").applyInPandas(partial, "host string, skeleton string")
-    stats = seen.where("path <> ''").select("host", "path", "pages", "size", "linked", (F.col("lo") == F.col("hi")).alias("same"))
-
-    def label(tree: pd.DataFrame, stat: pd.DataFrame) -> pd.DataFrame:
-        if not len(tree):
-            return pd.DataFrame({"w_host": [], "wrapper": [], "marks": []}).astype(str)
-        wrapper = json.loads(partial(tree)["skeleton"].iloc[0])
-        known = {r.path: (r.pages, r.size, r.linked, r.same) for r in stat.itertuples()}
-        return pd.DataFrame({"w_host": [tree["host"].iloc[0]], "wrapper": [json.dumps(wrapper)],
-                             "marks": [json.dumps(content_paths(wrapper, known))]})
-
-    return trees.groupBy("host").cogroup(stats.groupBy("host")).applyInPandas(
-        label, "w_host string, wrapper string, marks string")
+    own = seen.where("path <> ''").where(
+        ((F.col("lo") == F.col("hi")) & (F.col("contents") >= SAME_ON)) | (F.col("linked") * 2 > F.col("size")))
+    marks = own.groupBy(F.col("host").alias("m_host")).agg(F.to_json(F.sort_array(F.collect_list("path"))).alias("marks"))
+    whole = trees.groupBy("host").applyInPandas(partial, "host string, skeleton string")
+    return whole.join(marks, F.col("host") == F.col("m_host"), "left").select(
+        F.col("host").alias("w_host"), F.col("skeleton").alias("wrapper"), F.coalesce("marks", F.lit("[]")).alias("marks"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -316,7 +316,7 @@ def extract(pages: DataFrame) -> DataFrame:
             for page, marks in zip(batch.column(2), batch.column(3).to_pylist()):
                 if marks not in known:
                     known[marks] = frozenset(json.loads(marks or "[]"))
-                texts.append("\n".join(t for path, t, _ in blocks_of(page.as_py() or "") if path in known[marks]))
+                texts.append("\n".join(content_texts(list(blocks_of(page.as_py() or "")), known[marks])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])

@@ -61,3 +61,14 @@ def test_missing_end_tags_of_silent_elements():
     for name in ("button", "select", "object", "noscript"):
         assert texts(f"<div><p>a<{name}>no</p><p>b</p></div><p>c<{name}>no</{name}> d</p>") == ["a", "b", "c d"], name
     assert texts("<div><p>a</p><noscript><div><p>no</p></div></noscript><p>b</p></div>") == ["a", "b"]
+
+
+def test_content_is_chosen_per_page(spark):
+    rows = [(i, "http://h.org", page(i, f"<article><p>a {i}</article>")) for i in range(4)]
+    rows += [(10, "http://h.org", page(10, "<main><p>in main</p></main>")), (11, "http://h.org", page(11, "<div><p>in div</p></div>")),
+             (12, "http://h.org", "plain &lt; <b>text</b>")]
+    rows += [(20 + i, "http://copies.org", "<body><div><p>the same page</p></div></body>") for i in range(5)]
+    rows += [(30 + i, "http://n.org", f"<body><div>Welcome</div><p>story {i}</p></body>") for i in range(3)]
+    got = run(spark, rows)
+    assert [got[i] for i in (0, 3, 10, 11, 12)] == ["a 0", "a 3", "in main", "in div", "plain < text"]
+    assert {got[20 + i] for i in range(5)} == {"the same page"} and got[31] == "story 1"
