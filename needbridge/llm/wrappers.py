@@ -40,6 +40,7 @@ _MARKS = frozenset("""ad ads adv advert adverts advertisement advertising banner
 cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice notices notification outbrain pagination pager
 popup promo promotion related share sharing sidebar signup skip social sponsor sponsored subscribe taboola toolbar widget contentinfo
 complementary navigation search alert reply replies discussion respond""".split())
+_HEADERS = frozenset(("header", "masthead", "banner"))
 #: Elements that the next start tag of a kind closes.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 _TOKEN = re.compile(
@@ -213,25 +214,56 @@ def paths_of(wrapper: list, above: str = "") -> Iterator[str]:
         yield from paths_of(child, path)
 
 
-def _boiler(path: str) -> bool:
-    """A label of the path names boilerplate; a header inside the article is part of it."""
-    inside = False
-    for label in path.split("/"):
+def _boiler(path: str, sizes: dict[str, int], holds: set[str], inner: bool = False) -> bool:
+    """A label of the path names boilerplate.
+
+    A mark that is a whole class or id decides; one that is a part of it only
+    where the element holds no article or main and not most of the page's text.
+    Inside an article headers are part of it.  With ``inner`` nothing above an
+    article or main counts.
+    """
+    inside, above = False, ""
+    for label in path.split("/")[1:]:
+        above += f"/{label}"
         name, *marks = label.split(".")
         if name in ("article", "main"):
             inside = True
-        words = {w for m in marks for w in re.split(r"[-_]+", m)}
-        if name in _BOILER or (name == "header" and not inside) or (
-                name not in ("html", "body", "article", "main") and words & _MARKS and not (
-                    inside and name in ("h1", "h2") or (inside and name == "header"))):
+        if name in ("html", "body", "article", "main") or (inner and not inside):
+            continue
+        if name in _BOILER or (name == "header" and not inside):
+            return True
+        if inside and name in ("h1", "h2", "header"):
+            continue
+        words = _MARKS - _HEADERS if inside else _MARKS
+        if words.intersection(marks):
+            return True
+        if any(words.intersection(re.split(r"[-_]+", m)) for m in marks) and not (
+                above in holds or sizes[above] * 2 > sizes[""]):
             return True
     return False
 
 
 def content_texts(found: list[tuple[str, str, int]], own: frozenset) -> list[str]:
-    """Texts of a page's content blocks: its article, else its main, else what is not in ``own``, the host's paths."""
-    open_ = {p for p, _, _ in found if not _boiler(p)}
+    """Texts of a page's content blocks: its article, else its main, else what is not in ``own``, the host's paths.
+
+    Articles below boilerplate are taken where they hold no less text than the rest.
+    """
+    size: dict[str, int] = {}
+    for path, text, _ in found:
+        size[path] = size.get(path, 0) + len(text)
+    sizes, holds = {"": sum(size.values())}, set()
+    for path in size:
+        above = [""]
+        for label in path.split("/")[1:]:
+            above.append(f"{above[-1]}/{label}")
+            sizes[above[-1]] = sizes.get(above[-1], 0) + size[path]
+            if label.partition(".")[0] in ("article", "main"):
+                holds.update(above[1:])
+    open_ = {p for p in size if not _boiler(p, sizes, holds)}
     chosen = open_ - own
+    inner = {p for p in size if re.search(r"/(article|main)(\.|/|$)", p) and not _boiler(p, sizes, holds, inner=True)}
+    if not inner & open_ and sum(size[p] for p in inner) >= sum(size[p] for p in chosen):
+        open_ = open_ | inner
     for name in ("main", "article"):
         inside = {p for p in open_ if re.search(rf"/{name}(\.|/|$)", p)}
         chosen = inside or chosen

@@ -72,3 +72,13 @@ def test_content_is_chosen_per_page(spark):
     got = run(spark, rows)
     assert [got[i] for i in (0, 3, 10, 11, 12)] == ["a 0", "a 3", "in main", "in div", "plain < text"]
     assert {got[20 + i] for i in range(5)} == {"the same page"} and got[31] == "story 1"
+
+
+def test_marks_in_parts_of_a_class(spark):
+    body = '<article><div class="entry-header"><h1>Title {0}</h1></div><p>Story {0}</p><div class="share-buttons">Share</div></article>'
+    rows = [(i, "http://h.org", page(i, f'<div class="{c}">{body.format(i)}</div><div class="{c}">more</div>')) for i, c in enumerate(
+        ["content has-sidebar", "with-navigation", "plain", "sidebar"])]
+    rows.append((9, "http://i.org", page(9, '<div class="no-sidebar"><p>A long story without any article element.</p></div>')))
+    got = run(spark, rows)
+    assert [got[i] for i in range(4)] == [f"Title {i}\nStory {i}" for i in range(4)]
+    assert got[9] == "A long story without any article element."
