@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from needbridge.llm.common import materialize
 
 MIN_LENGTH = 16
+#: Least length right after a word that names a secret.
+CUED_LENGTH = 6
 #: Labelled findings that train the forest, at most; seed of that sample and of the forest.
 TRAIN_ROWS, SEED = 20_000, 5
 #: The most common words, whose three-letter pieces are the dictionary.
@@ -26,6 +28,8 @@ FEATURES = ("length", "upper", "lower", "digit", "mark", "shifts", "repeats", "v
             "cue_before", "cue_word", "assigned", "quoted", "link", "prose_before", "prose_after", "path_kind", "path_code")
 #: Words that name a secret, and places that hold samples.
 _CUE = "(?i)(pass|pwd|secret|token|api|key|auth|cred|bearer|private)"
+#: Such a word and what may stand between it and the secret.
+_CUED = r"(?i)(pass|pwd|secret|token|api|key|auth|cred|bearer|private)[a-z0-9_-]*[\"']?\s*(:=|=>|[:=]|\bis\b)?\s*[\"']?$"
 _SAMPLES = "(?i)(test|example|sample|doc|vendor)"
 
 
@@ -33,27 +37,41 @@ def scan(docs: DataFrame) -> DataFrame:
     """Candidates: doc_id, path, start, candidate, lead, before, after (start in code points).
 
     A candidate is a run of at least MIN_LENGTH letters, digits and ``+/_-``
-    with a digit in it, or of capitals.  ``lead`` is what stands before it in
-    its word, ``before`` and ``after`` are the neighbouring words.
+    with a digit in it, or of capitals; right after a word that names a secret,
+    of at least CUED_LENGTH.  ``lead`` is what stands before it in its word,
+    ``before`` and ``after`` are the neighbouring words.  Each run has its own
+    place, also where the same text stands twice.
     """
     words = docs.where("doc_id is not null and text is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("source", F.lit("")).alias("path"),
         F.split(F.translate("text", "\t\r\n", "   "), " ").alias("words"))
+
+    def may_hold(word: Column) -> Column:
+        return (F.length(word) >= MIN_LENGTH) | ((F.length(word) >= CUED_LENGTH) & word.rlike("[0-9]|[A-Z]{%d}" % CUED_LENGTH))
+
     spots = words.withColumn(
-        "at", F.explode(F.filter(F.sequence(F.lit(0), F.size("words") - 1),
-                                 lambda i: F.length(F.get("words", i)) >= MIN_LENGTH)))
+        "at", F.explode(F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: may_hold(F.get("words", i)))))
     long_words = spots.select(
         "doc_id", "path", F.get("words", F.col("at")).alias("word"), F.get("words", F.col("at") - 1).alias("before"),
         F.get("words", F.col("at") + 1).alias("after"),
+        F.concat_ws(" ", F.get("words", F.col("at") - 2), F.get("words", F.col("at") - 1)).alias("two_before"),
         F.aggregate(F.slice("words", 1, F.col("at")), F.lit(0), lambda n, w: n + F.length(w) + 1).alias("word_start"))
-    run = r"[A-Za-z0-9+/_-]{%d,}" % MIN_LENGTH
-    found = long_words.withColumn("found", F.explode(F.regexp_extract_all("word", F.lit(f"({run})")))).where(
-        F.col("found").rlike("[0-9]|^[A-Z]+$"))
-    place = F.instr("word", F.col("found")) - 1
+    run = r"[A-Za-z0-9+/_-]{%d,}" % CUED_LENGTH
+    runs = long_words.withColumn("runs", F.regexp_extract_all("word", F.lit(f"({run})"))).withColumn(
+        "parts", F.split("word", run)).where(F.size("runs") > 0)  # parts[i] stands before runs[i]
+    steps = F.zip_with("parts", "runs", lambda part, found: F.struct(
+        F.length(part).alias("gap"), F.coalesce(found, F.lit("")).alias("found")))
+    ends = F.aggregate(steps, F.array(F.lit(0)), lambda n, x: F.concat(
+        n, F.array(F.element_at(n, -1) + x["gap"] + F.length(x["found"]))))
+    each = runs.withColumn("ends", ends).select("*", F.posexplode("runs").alias("nth", "found")).withColumn(
+        "place", F.get("ends", F.col("nth") + 1) - F.length("found"))
+    lead = F.substring("word", F.lit(1), F.col("place"))
+    found = each.withColumn("lead", lead).where(F.col("found").rlike("[0-9]|^[A-Z]+$") & (
+        (F.length("found") >= MIN_LENGTH) | F.concat_ws(" ", "two_before", F.substring("word", F.greatest(F.lit(1), F.col("place") - 63), F.least(
+            F.lit(64), F.col("place")))).rlike(_CUED)))
     return found.select(
-        "doc_id", "path", (F.col("word_start") + place).cast("long").alias("start"), F.col("found").alias("candidate"),
-        F.substring("word", F.lit(1), place).alias("lead"), F.coalesce("before", F.lit("")).alias("before"),
-        F.coalesce("after", F.lit("")).alias("after")).distinct()
+        "doc_id", "path", (F.col("word_start") + F.col("place")).cast("long").alias("start"), F.col("found").alias("candidate"),
+        "lead", F.coalesce("before", F.lit("")).alias("before"), F.coalesce("after", F.lit("")).alias("after")).distinct()
 
 
 def dictionary(docs: DataFrame, words: int = DICTIONARY_WORDS) -> list[str]:

@@ -50,3 +50,16 @@ def test_no_python_in_the_plan_and_empty_table(spark):
     assert "Python" not in plan and "Arrow" not in plan
     assert secrets.find_secrets(docs(spark, [])).collect() == []
     assert secrets.find_secrets(docs(spark, ["x " + "A1" * 10])).count() == 1
+
+
+def test_every_place_and_short_secrets_after_a_cue(spark):
+    key = "a1B2c3D4e5F6g7H8i9"
+    texts = [f'{{"x":"{key}zz","y":"{key}","z":"{key}"}}', 'é pwd="hunter22";', "my password: hunter22 ok", "pass hunter2 end",
+             'db password = "s3cret77" x', '{"user":"bob12345","password":"hunter22"}', "room abc12345 here"]
+    got = {}
+    for r in secrets.scan(docs(spark, texts)).collect():
+        assert texts[r.doc_id][r.start:r.start + len(r.candidate)] == r.candidate
+        got.setdefault(r.doc_id, []).append((r.start, r.candidate))
+    at = [texts[0].index(key), texts[0].index(key, 12), texts[0].rindex(key)]
+    assert sorted(got[0]) == [(at[0], key + "zz"), (at[1], key), (at[2], key)]
+    assert [[c for _, c in got.get(i, [])] for i in range(1, 7)] == [["hunter22"], ["hunter22"], ["hunter2"], ["s3cret77"], ["hunter22"], []]
