@@ -10,7 +10,8 @@ all of them; from this the host's own paths are marked.  Extraction takes each
 page's article, else its main, else its blocks that are not marked.
 
 Distinct skeletons and path statistics are aggregated before any host's rows
-meet, so a host with a third of all pages is a few rows.
+meet; what varies in class and id values is taken out first, and a host's
+skeletons are merged in rounds of bounded groups.
 """
 
 from __future__ import annotations
@@ -51,6 +52,13 @@ _MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>
 _SILENT_TAG = re.compile(r"<(/?)(%s)\b(?!(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>)" % "|".join(sorted(_SILENT - {"head"})), re.I)
 #: A path whose text is the same on so many pages or more, outside an article, is the host's own.
 SAME_ON = 3
+#: Skeletons of a host that one call merges.
+MERGE = 64
+
+
+def _general(mark: str) -> str:
+    """A class or id without what varies from page to page: digits, hexadecimal parts, long names."""
+    return re.sub(r"[0-9a-f]*[0-9][0-9a-f]*", "0", re.sub(r"[/.]", "-", mark)) if len(mark) <= 40 else "~"
 
 
 def _unclosed(html: str) -> set[int]:
@@ -73,7 +81,7 @@ def blocks_of(html: str) -> Iterator[tuple[str, str, int]]:
     """(path, text, characters in links) of each text block in page order.
 
     A path names the open block elements with their class, id and role marks,
-    e.g. ``/html/body/div.ad``.  Text in silent elements is left out: until their
+    e.g. ``/html/body/div.ad``, digits in marks as one 0.  Text in silent elements is left out: until their
     end tag or the end of the block around them, without an end tag until the
     next block tag, and in a head until the first tag or text that cannot be in one.
     """
@@ -142,7 +150,7 @@ def blocks_of(html: str) -> Iterator[tuple[str, str, int]]:
                 if tag == "tr" and stack and stack[-1].partition(".")[0] == "tr":
                     stack.pop()
                 marks = sorted({w.lower() for g in _MARK.findall(m["attrs"] or "") for w in "".join(g).split()})
-                stack.append(".".join([tag, *[re.sub(r"[/.]", "-", w) for w in marks]]))
+                stack.append(".".join([tag, *dict.fromkeys(_general(w) for w in marks)]))
                 depth = 0
     text_until(len(html))
     yield from flush()
@@ -321,13 +329,19 @@ def infer(pages: DataFrame) -> DataFrame:
             out = align(out, tree)
         return pd.DataFrame({"host": [rows["host"].iloc[0]], "skeleton": [json.dumps(out)]})
 
-    trees = seen.where("path = ''").select("host", "skeleton", F.pmod(F.xxhash64("skeleton"), F.lit(64)).alias("part"))
-    trees = trees.groupBy("host", "part").applyInPandas(partial, "host string, skeleton string")
+    trees = seen.where("path = ''").select("host", "skeleton")
+    while True:  # merge in rounds of bounded groups until each host has one
+        sizes = trees.groupBy(F.col("host").alias("s_host")).agg(F.count("*").alias("n")).where("n > 1")
+        if sizes.isEmpty():
+            break
+        part = F.pmod(F.xxhash64("skeleton"), F.ceil(F.coalesce("n", F.lit(1)) / MERGE))
+        trees = materialize(trees.join(sizes, F.col("host") == F.col("s_host"), "left").select(
+            "host", "skeleton", part.alias("part")).groupBy("host", "part").applyInPandas(
+            partial, "host string, skeleton string"), "trees")
     own = seen.where("path <> ''").where(
         ((F.col("lo") == F.col("hi")) & (F.col("contents") >= SAME_ON)) | (F.col("linked") * 2 > F.col("size")))
     marks = own.groupBy(F.col("host").alias("m_host")).agg(F.to_json(F.sort_array(F.collect_list("path"))).alias("marks"))
-    whole = trees.groupBy("host").applyInPandas(partial, "host string, skeleton string")
-    return whole.join(marks, F.col("host") == F.col("m_host"), "left").select(
+    return trees.join(marks, F.col("host") == F.col("m_host"), "left").select(
         F.col("host").alias("w_host"), F.col("skeleton").alias("wrapper"), F.coalesce("marks", F.lit("[]")).alias("marks"))
 
 

@@ -82,3 +82,13 @@ def test_marks_in_parts_of_a_class(spark):
     got = run(spark, rows)
     assert [got[i] for i in range(4)] == [f"Title {i}\nStory {i}" for i in range(4)]
     assert got[9] == "A long story without any article element."
+
+
+def test_varying_ids_share_paths_and_merge_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(w, "MERGE", 3)
+    rows = [(i, "http://h.org", f'<body><div id="w-{i}">Welcome</div><div id="post-{i}" class="p-{i:x}0a">' + "".join(
+        f"<h{1 + (i >> k) % 2}>t{i}</h{1 + (i >> k) % 2}>" for k in range(5)) + "</div></body>") for i in range(32)]
+    got = run(spark, rows)
+    assert all("Welcome" not in got[i] and f"t{i}" in got[i] for i in range(32))
+    (host,) = w.infer(spark.createDataFrame([(*r, "clash") for r in rows], SCHEMA)).collect()
+    assert {"/body/div.w-0", "/body/div.p-0.post-0/h1"} <= set(w.paths_of(__import__("json").loads(host.wrapper)))
