@@ -4,9 +4,11 @@ Fixed patterns give the base spans.  Wider generators propose overlapping
 candidates of each kind (spelled-out addresses, numbers in other groupings);
 boosted trees score them from their format and their context, and those above
 a threshold calibrated on held-out candidates are added where they overlap no
-span of their kind.  Training labels are the base spans themselves: a candidate
-that overlaps one is positive, so the trees learn what personal data of a kind
-looks like and where it stands, and add the unmatched candidates like it.
+span of their kind.  Positive in training are candidates that overlap a base
+span, base spans rewritten into the wider forms where they stand, and numbers
+of the right shape right after a cue word, so the trees learn the forms that
+the patterns miss.  Unmatched candidates next to a
+cue of their kind may be personal data and are no negatives.
 """
 
 from __future__ import annotations
@@ -40,6 +42,9 @@ _NUMBER = re.compile(r"[+(]{0,2}[0-9][0-9\x20().,:/-]{5,38}[0-9]")
 _CUES = tuple(re.compile(c) for c in (
     r"mail|contact|write|@|schreib|correo|courriel", r"\bip\b|host|server|addr|login", r"card|visa|karte|tarjeta|carte|pay",
     r"tel|phone|call|fax|mobil|ruf|llama|appel"))
+_DATE = re.compile(r"[0-9]{1,4}([/.-])[0-9]{1,2}\1[0-9]{1,4}")
+#: Ways to write what stands for @ and for the dots of a domain.
+_SPELLED = ((" at ", " dot "), (" [at] ", " [dot] "), ("(at)", "."), (" at ", "."))
 
 
 def luhn(digits: str) -> bool:
@@ -91,7 +96,7 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 def candidates(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end): every generator's proposals; a number is proposed as ip, card and phone."""
     out = []
-    if "@" in text or " dot " in text or "(at)" in text or "[at]" in text:
+    if any(x in text for x in ("@", " dot ", "(at)", "[at]", "(dot)", "[dot]")):
         out += [(0, *m.span()) for m in _ADDRESS.finditer(text)]
     if _DIGIT.search(text):
         for m in _NUMBER.finditer(text):
@@ -121,21 +126,70 @@ def _overlaps(spans: list[tuple[int, int]], start: int, end: int) -> bool:
     return any(a < end and start < b for a, b in spans)
 
 
+def rewritten(text: str, kind: int, start: int, end: int, way: int) -> tuple[str, int, int]:
+    """The neighbourhood of a base span with the span in a wider form: (text, start, end)."""
+    part = text[start:end]
+    if kind == 0:
+        at, dot = _SPELLED[way % len(_SPELLED)]
+        local, _, domain = part.rpartition("@")
+        part = local + at + domain.replace(".", dot)
+    elif kind == 1:
+        part = part.replace(".", (" . ", "-", ", ")[way % 3])
+    elif kind == 2:
+        d = _digits(part)
+        part = (".", "/", " - ")[way % 3].join(d[i:i + 4] for i in range(0, len(d), 4))
+    else:
+        part = ("00", "", "(0)")[way % 3] + part[1:]
+    before = text[max(0, start - 80):start]
+    return before + part + text[end:end + 80], len(before), len(before) + len(part)
+
+
+def _cued(text: str, kind: int, start: int, end: int) -> bool:
+    cue = _CUES[kind]
+    return bool(cue.search(text[max(0, start - 40):start].lower()) or cue.search(text[end:end + 20].lower()))
+
+
+def _evident(text: str, kind: int, start: int, end: int) -> bool:
+    """A number of the right shape with a cue of its kind as the word right before it."""
+    part = text[start:end]
+    words = text[max(0, start - 20):start].lower().split()
+    if not kind or not words or _DATE.fullmatch(part) or not _CUES[kind].search(words[-1]):
+        return False
+    groups, digits = re.findall("[0-9]+", part), _digits(part)
+    return (len(groups) == 4 and all(int(g) <= 255 for g in groups), 16 <= len(digits) <= 19 and luhn(digits),
+            8 <= len(digits) <= 15)[kind - 1]
+
+
 class Model:
     """Trees and threshold; adds nothing where there was nothing to learn from."""
 
     def __init__(self, texts: list[str], precision: float = PRECISION):
-        rows, labels = [], []
-        for text in texts:
+        rows, labels, groups = [], [], []
+        ways = [0] * len(KINDS)
+        for group, text in enumerate(texts):
             base = base_spans(text)
-            for kind, start, end in candidates(text):
-                rows.append(features(text, kind, start, end))
-                labels.append(_overlaps(base[KINDS[kind]], start, end))
+            every = [span for spans in base.values() for span in spans]
+            found = [(text, c, _overlaps(base[KINDS[c[0]]], c[1], c[2])
+                      or (not _overlaps(every, c[1], c[2]) and _evident(text, *c))) for c in candidates(text)]
+            found = [(t, c, y) for t, c, y in found if y or not _cued(t, *c) or _overlaps(every, c[1], c[2])
+                     or _DATE.fullmatch(t[c[1]:c[2]])]
+            for kind, name in enumerate(KINDS):
+                for start, end in base[name]:
+                    wide, a, b = rewritten(text, kind, start, end, ways[kind])
+                    ways[kind] += 1
+                    own = base_spans(wide)[name]
+                    found += [(wide, c, True) for c in candidates(wide)
+                              if c[0] == kind and c[1] < b and a < c[2] and not _overlaps(own, c[1], c[2])]
+            for t, c, y in found:
+                rows.append(features(t, *c))
+                labels.append(y)
+                groups.append(group)
         self.trees, self.threshold = None, float("inf")
         y = np.asarray(labels, float)
         if len(rows) >= 40 and 0 < y.sum() < len(y):
             x = np.asarray(rows, float)
-            held = np.arange(len(y)) % 4 == 0
+            group = np.unique(groups, return_inverse=True)[1]  # a text's rows are held out together
+            held = (group if group.max() >= 8 else np.arange(len(y))) % 4 == 0
             self.trees = BoostedTrees().fit(x[~held], y[~held])
             self.threshold = calibrated_threshold(self.trees.predict(x[held]), y[held], precision)
 

@@ -77,3 +77,19 @@ def test_redact_and_empty_table(spark):
     assert {r.doc_id: r.text for r in out.collect()} == {0: "mail [email] now [ip]", 1: None, 2: "clean"}
     assert out.columns == d.columns
     assert pii.find(docs(spark, []), pii.train(docs(spark, []))).collect() == []
+
+
+def test_spelled_out_forms_are_added(spark):
+    t = texts()
+    got = {r.doc_id: r for r in pii.find(docs(spark, t), pii.train(docs(spark, t))).collect()}
+    spelled = [i for i, text in enumerate(t) if text and text.startswith("contact ann")]
+    address = phone = 0
+    for i in spelled:
+        at, end, call = t[i].index("ann"), t[i].index(" or call"), t[i].index("0049")
+        spans = got[i].spans.split(",")
+        address += f"email:{at}:{end}" in spans
+        phone += f"phone:{call}:{len(t[i])}" in spans
+    assert len(spelled) == 200 and address > 180 and phone > 180, (address, phone)
+    plain = [i for i, text in enumerate(t) if text and text.startswith("please call")]
+    dates = [s for i in plain for s in got[i].spans.split(",") if s and "/" in t[i][int(s.split(":")[1]):int(s.split(":")[2])]]
+    assert len(dates) < 10
