@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from needbridge.llm import (
-    decontam, ego_join, fixity, kneser_ney, line_dedup, ngram_join, packing, pii, secrets, wrappers)
+    decontam, ego_join, fixity, kneser_ney, line_dedup, ngram_join, packing, pii, secrets, syncmers, wrappers)
 from needbridge.llm.common import table
 
 
@@ -55,6 +55,10 @@ def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii_boosting": op1_pii_boosting,
@@ -67,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_wrappers": op8_wrappers,
         "op9_line_dedup": op9_line_dedup,
         "op10_best_two_fit": op10_best_two_fit,
+        "op11_closed_syncmers": op11_closed_syncmers,
     }
 
 
