@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from needbridge.llm import (
-    decontam, ego_join, fixity, kneser_ney, line_dedup, ngram_join, packing, pii, secrets, syncmers, wrappers)
+    collocations, cover_tree, decontam, ego_join, fixity, kneser_ney, line_dedup, ngram_join, packing, pii, secrets, syncmers, wrappers)
 from needbridge.llm.common import table
 
 
@@ -59,6 +60,16 @@ def op11_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_free_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_cover_tree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return cover_tree.mine(cover_tree.quantized(vectors.withColumn("label", label)), F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii_boosting": op1_pii_boosting,
@@ -72,6 +83,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_line_dedup": op9_line_dedup,
         "op10_best_two_fit": op10_best_two_fit,
         "op11_closed_syncmers": op11_closed_syncmers,
+        "op12_prefix_free_phrases": op12_prefix_free_phrases,
+        "op13_cover_tree_negatives": op13_cover_tree_negatives,
     }
 
 
@@ -79,6 +92,8 @@ def oracle_sql() -> dict[str, str]:
     """Twins of the queries that SQL can express."""
     return {
         "op5_merkle_audit": OP5,
+        "op12_prefix_free_phrases": OP12,
+        "op13_cover_tree_negatives": OP13,
     }
 
 
@@ -102,3 +117,54 @@ SELECT archive, "offset", length, page_id,
   CASE WHEN h NOT LIKE '00%' THEN changed END AS found
 FROM hashed WHERE substr(h, 1, 2) IN ('00', '40', '80', 'c0')
 """
+
+#: All n-grams counted one by one, without a parse.
+OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, list_filter(string_split_regex(piece, '[ \x09]+'), lambda x: x <> '') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+sizes AS (SELECT lang, count(*) AS n FROM places GROUP BY lang),
+grams AS (
+  SELECT lang, k, list_slice(w, i, i + k - 1) AS g, count(*) AS f
+  FROM places, (VALUES (1), (2), (3)) AS t(k) WHERE i + k - 1 <= len(w) GROUP BY ALL),
+cand AS (SELECT lang, k, g, f AS a FROM grams WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.g, c.a, cut, x.f AS l, y.f AS r,
+    (1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand) c
+  JOIN grams x ON x.lang = c.lang AND x.g = list_slice(c.g, 1, c.cut)
+  JOIN grams y ON y.lang = c.lang AND y.g = list_slice(c.g, c.cut + 1, c.k)),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM cand t WHERE t.k = 3 AND len(b.g) = 2 AND t.lang = b.lang
+      AND (list_slice(t.g, 1, 2) = b.g OR list_slice(t.g, 2, 3) = b.g) AND 100 * t.a >= 50 * b.a)),
+named AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM kept)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+  a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM named JOIN sizes USING (lang) QUALIFY rank <= 2000
+"""
+
+#: All anchors against all rows.
+OP13 = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_dot_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+positives AS (
+  SELECT * FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.other_id AS positive_id,
+  row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id)::INTEGER AS rank,
+  n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
