@@ -8,11 +8,15 @@ from needbridge.operators.marts import (  # noqa: F401
     gap_rollup,
     milestone_by_screened,
     milestone_performance,
+    risk_from_linkage,
     risk_from_members,
+    risk_from_members_linkage,
     risk_intersection,
     share_of_total,
 )
-from needbridge.operators.outcomes import join_outcomes  # noqa: F401
+from needbridge.operators.distinct import distinct_rollup  # noqa: F401
+from needbridge.operators.heavy import heavy_keys, salted_left_join  # noqa: F401
+from needbridge.operators.outcomes import join_outcomes, linkage_per_member  # noqa: F401
 from needbridge.operators.sequence import member_screenings, sequence_events  # noqa: F401
 from needbridge.operators.staging import (  # noqa: F401
     stage_members,

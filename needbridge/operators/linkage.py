@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from needbridge.functions import flag
-from needbridge.operators.skew import CHUNK, DEFAULT_HOT_ROWS, bounded, range_chunks, split_hot
 from needbridge.schemas import SERVICE_SLA_DAYS
 
 c = F.col
@@ -58,38 +57,51 @@ def link_first_followup(
 
 # --- earliest follow-up on or after the event (README gap variant, J6) ------
 
-def _tagged(events: DataFrame, followups: DataFrame, entity: str, ts: str, follow_ts: str,
-            group: Sequence[str]) -> DataFrame:
-    e = events.select(*group, c(ts).alias("__t"), F.lit(0).alias("__kind"),
-                      F.lit(None).cast("date").alias("__f"))
-    f = (followups.where(c(follow_ts).isNotNull() & c(entity).isNotNull())
-         .select(c(entity), c(follow_ts).alias("__t"), F.lit(1).alias("__kind"),
-                 c(follow_ts).alias("__f")))
-    return e.unionByName(f, allowMissingColumns=True)
+def follow_up_days(followups: DataFrame, entity: str, follow_ts: str) -> DataFrame:
+    """One row per entity: its distinct follow-up days, ascending.
 
+    Reduced to distinct (entity, day) before anything is gathered, so a day
+    with any number of follow-ups ships once per map task, and an array holds
+    at most one element per calendar day.
+    """
+    days = followups.where(c(follow_ts).isNotNull() & c(entity).isNotNull()).select(
+        c(entity).alias("__e"), c(follow_ts).alias("__f")).distinct()
+    return days.groupBy("__e").agg(F.array_sort(F.collect_list("__f")).alias("__days"))
+
+
+def first_at_or_after(days: F.Column, day: F.Column) -> F.Column:
+    """Least element of the ascending array ``days`` that is not before ``day`` (null if none).
 
-# Reverse order: latest first; at equal dates follow-ups come before events,
-# so a running minimum from the top sees every follow-up on or after an
-# event's date, same-day ones included.  (A frame reaching to UNBOUNDED
-# FOLLOWING would be recomputed per row; a running frame is linear.)
-def _rev():
-    return [c("__t").desc_nulls_first(), c("__kind").desc()]
+    A binary search: as many steps as the array's size has binary digits.
+    """
+    def halve(s, _):
+        mid = ((s["lo"] + s["hi"]) / 2).cast("int")
+        return F.when(s["lo"] >= s["hi"], s).when(
+            F.get(days, mid) < day, F.struct((mid + 1).alias("lo"), s["hi"].alias("hi"))
+        ).otherwise(F.struct(s["lo"].alias("lo"), mid.alias("hi")))
 
+    start = F.struct(F.lit(0).alias("lo"), F.size(days).alias("hi"))
+    steps = F.sequence(F.lit(1), F.length(F.bin(F.size(days))))
+    return F.when(day.isNotNull() & days.isNotNull(),
+                  F.aggregate(steps, start, halve, lambda s: F.get(days, s["lo"])))
 
-def _suffix_min_plain(u: DataFrame, entity: str) -> DataFrame:
-    w = Window.partitionBy(entity).orderBy(*_rev()).rowsBetween(Window.unboundedPreceding, 0)
-    return u.withColumn("__first", F.min("__f").over(w))
 
+def _by_running_minimum(events: DataFrame, followups: DataFrame, entity: str, ts: str, follow_ts: str,
+                        group: Sequence[str]) -> DataFrame:
+    """Running minimum in reverse date order over distinct events and follow-up days.
 
-def _suffix_min_chunked(u: DataFrame, entity: str, num_chunks: int, n_hot: int) -> DataFrame:
-    r = range_chunks(u, entity, _rev(), num_chunks)
-    w = Window.partitionBy(entity, CHUNK).orderBy(*_rev()).rowsBetween(Window.unboundedPreceding, 0)
-    local = r.withColumn("__lmin", F.min("__f").over(w))
-    summary = local.groupBy(entity, CHUNK).agg(F.min("__f").alias("__cmin"))
-    wc = Window.partitionBy(entity).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(entity, CHUNK, F.min("__cmin").over(wc).alias("__carry"))
-    out = local.join(bounded(carry, n_hot + num_chunks), [entity, CHUNK])
-    return out.withColumn("__first", F.least("__lmin", "__carry")).drop("__lmin", "__carry", CHUNK)
+    At equal dates follow-ups come before events, so an event sees every
+    follow-up on or after its date.  Both inputs are distinct, so an entity has at most
+    (days × event groups) rows in its window.
+    """
+    e = events.select(*group).distinct().select(
+        *group, c(ts).alias("__t"), F.lit(0).alias("__kind"), F.lit(None).cast("date").alias("__f"))
+    f = followups.where(c(follow_ts).isNotNull() & c(entity).isNotNull()).select(
+        c(entity), c(follow_ts).alias("__t"), F.lit(1).alias("__kind"), c(follow_ts).alias("__f")).distinct()
+    w = Window.partitionBy(entity).orderBy(c("__t").desc_nulls_first(), c("__kind").desc()).rowsBetween(
+        Window.unboundedPreceding, 0)
+    scanned = e.unionByName(f, allowMissingColumns=True).withColumn("__first", F.min("__f").over(w))
+    return scanned.where(c("__kind") == 0).select(*group, c("__first").alias("first_service_date"))
 
 
 def first_followup_after(
@@ -99,21 +111,18 @@ def first_followup_after(
     ts: str = "screening_date",
     follow_ts: str = "service_date",
     group: Sequence[str] = ("member_id", "county", "primary_need_type", "screening_date"),
-    method: str = "window",
-    hot_key_rows: int | None = DEFAULT_HOT_ROWS,
-    num_chunks: int | None = None,
-    counts_from: DataFrame | None = None,
+    method: str = "days",
 ) -> DataFrame:
     """Per event group: earliest ``follow_ts`` of the same entity on/after ``ts``.
 
-    ``method='join'`` is the literal range join (equi on the entity plus
-    ``follow >= event``) followed by MIN — quadratic per entity, kept as the
-    test reference.  ``method='window'`` unions events and follow-ups and
-    takes a running minimum in reverse date order: one shuffle on the entity,
-    no pair is ever formed, and the grouping afterwards reuses the entity
-    partitioning.  An event with a null date never matches (SQL ``>=``).
-    ``counts_from``: a cheaper superset of both inputs' entity column to
-    find hot entities on (e.g. the staged tables, one narrow scan each).
+    An event with a null date never matches (SQL ``>=``).  No pair of event
+    and follow-up is formed, no job runs while the plan is built:
+
+    * ``method='days'``: one sorted array of distinct days per entity, one
+      left join, a binary search per event group;
+    * ``method='scan'``: one window per entity over both inputs;
+    * ``method='join'``: the literal range join followed by MIN, quadratic per
+      entity; the tests' reference only.
     """
     group = list(group)
     if ts not in group or entity not in group:
@@ -123,15 +132,10 @@ def first_followup_after(
         j = events.select(*group).join(
             f, (c(entity) == c("__e")) & (c("__f") >= c(ts)), "left")
         return j.groupBy(*group).agg(F.min("__f").alias("first_service_date"))
-    u = _tagged(events, followups, entity, ts, follow_ts, group)
-    if hot_key_rows is None:
-        scanned = _suffix_min_plain(u, entity)
-    else:
-        cold, hot, chunks, n_hot, _ = split_hot(u, entity, hot_key_rows, counts_from)
-        scanned = _suffix_min_plain(cold, entity)
-        if hot is not None:
-            n = num_chunks or chunks
-            scanned = scanned.unionByName(
-                _suffix_min_chunked(hot, entity, n, n_hot).select(*scanned.columns))
-    ev = scanned.where(c("__kind") == 0)
-    return ev.groupBy(*group).agg(F.min("__first").alias("first_service_date"))
+    if method == "scan":
+        return _by_running_minimum(events, followups, entity, ts, follow_ts, group)
+    if method != "days":
+        raise ValueError(method)
+    days = follow_up_days(followups, entity, follow_ts)
+    j = events.select(*group).distinct().join(days, c(entity) == c("__e"), "left")
+    return j.select(*group, first_at_or_after(c("__days"), c(ts)).alias("first_service_date"))

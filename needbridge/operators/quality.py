@@ -16,10 +16,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from needbridge.operators import rules as ru
+from needbridge.operators.rules import ERROR, WARN
 from needbridge.schemas import TIER_ON_TRACK
 
 c = F.col
-ERROR, WARN = "error", "warn"
 RESULT_COLS = ("check", "layer", "scope", "observed", "threshold", "severity", "passed")
 
 
@@ -44,11 +45,7 @@ def _rows(df: DataFrame, check, layer: str, scope, observed, threshold: float,
 def null_rates(df: DataFrame, cols: Sequence[str], layer: str, scope: str,
                max_rate: float = 0.0) -> DataFrame:
     """Null share per column (D1, D2), all columns in one aggregate; an empty table fails."""
-    agg = df.agg(*[F.avg(c(x).isNull().cast("int")).alias(x) for x in cols])
-    stacked = agg.select(F.explode(F.array(*[
-        F.struct(F.lit(x).alias("col"), c(x).alias("rate")) for x in cols])).alias("r"))
-    return _rows(stacked, F.concat(F.lit("null_rate:"), c("r.col")), layer, scope,
-                 c("r.rate"), max_rate, ERROR, F.coalesce(c("r.rate") <= max_rate, F.lit(False)))
+    return ru.profile(df, [ru.null_rate(x, max_rate) for x in cols], layer, scope)
 
 
 def null_rates_by_group(df: DataFrame, group: str, cols: Sequence[str], layer: str,
@@ -84,24 +81,22 @@ def referential(child: DataFrame, parent: DataFrame, key: str, layer: str, scope
     """Share of child rows (non-null key) whose key exists in the parent.
 
     The parent keys are reduced to distinct values before the left join, so
-    the join is N:1 and the share is one more aggregate.
+    the join is N:1 and the share is one more aggregate.  Without any such row there is
+    no share and the check fails.
     """
     keys = parent.select(c(key).alias("__k")).where(c("__k").isNotNull()).distinct() \
         .withColumn("__hit", F.lit(1))
     ch = child.select(key).where(c(key).isNotNull())
     j = ch.join(keys, ch[key] == keys["__k"], "left")
     agg = j.agg(F.count(F.lit(1)).alias("n"), F.count("__hit").alias("hit"))
-    share = F.when(c("n") == 0, F.lit(1.0)).otherwise(c("hit") / c("n"))
+    share = c("hit") / F.nullif(c("n"), F.lit(0))
     return _rows(agg, f"referential:{key}", layer, scope, share, min_share, ERROR,
-                 share >= min_share)
+                 F.coalesce(share >= min_share, F.lit(False)))
 
 
 def completeness(df: DataFrame, col: str, layer: str, scope: str, min_share: float = 1.0) -> DataFrame:
-    """Share of non-null values."""
-    agg = df.agg(F.count(F.lit(1)).alias("n"), F.count(col).alias("k"))
-    share = F.when(c("n") == 0, F.lit(1.0)).otherwise(c("k") / c("n"))
-    return _rows(agg, f"completeness:{col}", layer, scope, share, min_share, ERROR,
-                 share >= min_share)
+    """Share of non-null values (D7); an empty table fails."""
+    return ru.profile(df, [ru.complete(col, min_share)], layer, scope)
 
 
 def gap_alert(gap_by_place: DataFrame, place: str = "county",
@@ -126,6 +121,11 @@ def suite(*checks: DataFrame) -> DataFrame:
     return out
 
 
+def describe(failed: Sequence[dict], total: int | None = None) -> str:
+    names = ", ".join(f"{r['check']}@{r['scope']}={r['observed']}" for r in failed[:100])
+    return f"{len(failed) if total is None else total} data-quality checks failed: {names}"
+
+
 def enforce(results: DataFrame) -> DataFrame:
     """Halt the run if an error-severity check failed.
 
@@ -135,6 +135,5 @@ def enforce(results: DataFrame) -> DataFrame:
     failed = results.where((c("severity") == ERROR) & ~F.coalesce(c("passed"), F.lit(False)))
     total = failed.count()
     if total:
-        names = ", ".join(f"{r['check']}@{r['scope']}={r['observed']}" for r in failed.limit(100).collect())
-        raise QualityError(f"{total} data-quality checks failed: {names}")
+        raise QualityError(describe([r.asDict() for r in failed.limit(100).collect()], total))
     return results

@@ -22,10 +22,19 @@ def top_k(df: DataFrame, metric: str, k: int = 10, tiebreak: Sequence[str] = ())
 
 
 def table_summary(df: DataFrame, flags: Sequence[str], categories: Sequence[str]) -> DataFrame:
-    """One row: row count, share of each flag, distinct count of each category."""
-    return df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        *[F.avg(c(f).cast("int")).alias(f"{f}_rate") for f in flags],
+    """One row: row count, share of each flag, distinct count of each category.
+
+    The rows are first reduced to the category combinations that occur, with
+    counts, so the several distinct counts expand combinations, not rows.
+    """
+    combos = df.groupBy(*categories).agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.count(f).alias(f"__known{i}") for i, f in enumerate(flags)],
+        *[F.count_if(c(f)).alias(f"__true{i}") for i, f in enumerate(flags)])
+    return combos.agg(
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("row_count"),
+        *[(F.sum(f"__true{i}") / F.nullif(F.sum(f"__known{i}"), F.lit(0))).alias(f"{f}_rate")
+          for i, f in enumerate(flags)],
         *[F.countDistinct(x).alias(f"{x}_distinct") for x in categories],
     )
 

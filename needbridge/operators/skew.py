@@ -41,8 +41,6 @@ from needbridge.session import ensure_checkpoint_dir
 CHUNK = "__chunk"
 DEFAULT_HOT_ROWS = 2_000_000
 
-
-MAX_CHUNKS = 100_000
 # Tasks much smaller than this cost more in scheduling than they save.
 MIN_CHUNK_ROWS = 1_000_000
 # Largest key list / carry table sent by broadcast; beyond it, shuffle joins.
@@ -55,8 +53,8 @@ def bounded(df: DataFrame, rows: int):
 
 
 def hot_keys(df: DataFrame, key: str, threshold: int) -> DataFrame:
-    """Keys with more than ``threshold`` rows (<= rows/threshold of them), with counts."""
-    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    """Keys with more than ``threshold`` rows (<= rows/threshold of them), with counts; a null is no key."""
+    return (df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
             .where(F.col("__n") > threshold))
 
 
@@ -88,7 +86,7 @@ def split_hot(df: DataFrame, key: str, threshold: int,
     if not k:
         return HotSplit(df, None, 0, 0, None)
     per_chunk = max(threshold, MIN_CHUNK_ROWS)
-    chunks = int(min(MAX_CHUNKS, max(2, -(-stats["rows"] // per_chunk))))
+    chunks = int(max(2, -(-stats["rows"] // per_chunk)))
     hot = bounded(counts.select(key), k)  # size known: k keys
     return HotSplit(df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi"), chunks, k, hot)
 

@@ -27,7 +27,8 @@ DRIVER_WINDOW = ("1997-01-01", "1997-03-31")
 AS_OF = "2025-01-01"
 # Threshold used by the *_hot_split queries: low enough that the driver's
 # busiest members take the range-chunked path, so the gate checks it.
-SPLIT_TEST_ROWS = 8
+SPLIT_TEST_ROWS, SPLIT_TEST_CHUNKS = 8, 24
+SAMPLE_SIZE = 250
 SAMPLE_RATES = {"Low": 0.52, "Medium": 0.72, "High": 0.87, "Very High": 0.94}
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,7 +81,7 @@ def sequence_hot_split(spark, d):
     """Same as ``sequence_events`` with the busiest members range-chunked."""
     s = stages(spark, d)
     return ops.member_screenings(s.int_screenings_deduped, s.stg_members,
-                             hot_key_rows=SPLIT_TEST_ROWS)
+                             hot_key_rows=SPLIT_TEST_ROWS, num_chunks=SPLIT_TEST_CHUNKS)
 
 
 @query
@@ -134,22 +135,21 @@ def gap_grouping_sets(spark, d):
 @query
 def followup_after_range(spark, d):
     s = stages(spark, d)
-    return ops.gap_after_screening(s.int_member_screenings, s.stg_services, method="window",
-                                   counts_from=s.member_activity)
+    return ops.gap_after_screening(s.int_member_screenings, s.stg_services)
 
 
 @query
 def followup_after_join(spark, d):
+    """The same result by a window over events and follow-up days in date order."""
     s = stages(spark, d)
-    return ops.gap_after_screening(s.int_member_screenings, s.stg_services, method="join")
+    return ops.gap_after_screening(s.int_member_screenings, s.stg_services, method="scan")
 
 
 @query
 def followup_hot_split(spark, d):
+    """First service per event group; a member's days are one array, its events split freely."""
     s = stages(spark, d)
-    ev = s.int_member_screenings.where(F.col("hrsn_flag"))
-    return ops.first_followup_after(ev, s.stg_services, hot_key_rows=SPLIT_TEST_ROWS,
-                                    counts_from=s.member_activity)
+    return ops.first_followup_after(s.int_member_screenings.where(F.col("hrsn_flag")), s.stg_services)
 
 
 @query
@@ -160,19 +160,19 @@ def risk_intersection(spark, d):
 @query
 def risk_from_members(spark, d):
     s = stages(spark, d)
-    return ops.risk_from_members(s.stg_members, s.int_renewal_hrsn, s.int_member_screenings)
+    return ops.risk_from_members_linkage(s.stg_members, s.stg_renewals, s.int_service_linkage)
 
 
 @query
 def lapse_by_county(spark, d):
     s = stages(spark, d)
-    return ops.risk_intersection(s.int_renewal_hrsn, s.stg_members, ["county"])
+    return ops.risk_from_linkage(s.stg_renewals, s.int_service_linkage, s.stg_members, ["county"])
 
 
 @query
 def risk_by_member_grain(spark, d):
     s = stages(spark, d)
-    return ops.risk_intersection(s.int_renewal_hrsn, s.stg_members, grain="member")
+    return ops.risk_from_linkage(s.stg_renewals, s.int_service_linkage, s.stg_members, grain="member")
 
 
 @query
@@ -285,7 +285,7 @@ def table_summary(spark, d):
                          ["scn_region", "screening_tool", "primary_need_type"])
 
 
-# --- sampling (rows-only check: the key hash has no SQL twin) -------------
+# --- sampling --------------------------------------------------------------
 @query
 def stratified_sample(spark, d):
     m = stages(spark, d).stg_members
@@ -297,5 +297,22 @@ def sample_share(spark, d):
     return smp.sample_share(stages(spark, d).stg_screenings, 0.02, "screening_id")
 
 
+@query
+def sample_exact(spark, d):
+    return smp.sample_exact(stages(spark, d).stg_members, SAMPLE_SIZE, "member_id")
+
+
+@query
+def sample_exact_per_tier(spark, d):
+    return smp.sample_exact(stages(spark, d).stg_members, SAMPLE_SIZE // 10, "member_id", stratum="risk_tier")
+
+
+@query
+def distinct_members_rollup(spark, d):
+    """Members with a need at every roll-up level of county, region and need."""
+    link = stages(spark, d).int_service_linkage.where(F.col("hrsn_flag"))
+    return ops.distinct_rollup(link, "member_id", ["county", "scn_region", "primary_need_type"], "members")
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)

@@ -13,7 +13,7 @@ NULLS LAST, and the same tie-breaks as the Spark operators.
 
 from __future__ import annotations
 
-from needbridge.plans.catalog import DRIVER_WINDOW, AS_OF
+from needbridge.plans.catalog import AS_OF, DRIVER_WINDOW, SAMPLE_RATES, SAMPLE_SIZE
 
 LO, HI = DRIVER_WINDOW
 TOOLS = "('AHC-HRSN', 'PRAPARE', 'WellRx', 'HealthLeads')"
@@ -344,7 +344,7 @@ def _dq(check: str, layer: str, scope: str, observed: str, threshold: float, sev
 def _null_rate(table: str, col: str) -> str:
     rate = f"AVG(CAST({col} IS NULL AS INTEGER))"
     return _dq(f"'null_rate:{col}'", "staging", f"'{table}'", rate, 0.0, "error",
-               f"COALESCE({rate} <= 0.0, TRUE)") + f" FROM {table}"
+               f"COALESCE({rate} <= 0.0, FALSE)") + f" FROM {table}"
 
 
 def _null_rate_by_region(col: str) -> str:
@@ -493,4 +493,21 @@ def oracle_sql() -> dict[str, str]:
                COUNT(DISTINCT screening_tool) AS screening_tool_distinct,
                COUNT(DISTINCT primary_need_type) AS primary_need_type_distinct
         FROM stg_screenings""", "stg_screenings")
+    def position(key: str, seed: int) -> str:
+        return f"('0x' || substr(md5({key} || ':{seed}'), 1, 8))::BIGINT / 4294967296.0"
+
+    rates = " ".join(f"WHEN '{tier}' THEN {rate}" for tier, rate in SAMPLE_RATES.items())
+    q["stratified_sample"] = build(
+        f"SELECT * FROM stg_members WHERE {position('member_id', 42)} < CASE risk_tier {rates} ELSE 0 END", "stg_members")
+    q["sample_share"] = build(
+        f"SELECT * FROM stg_screenings WHERE {position('screening_id', 7)} < 0.02", "stg_screenings")
+    q["sample_exact"] = build(
+        f"SELECT * FROM stg_members ORDER BY md5(member_id || ':11') LIMIT {SAMPLE_SIZE}", "stg_members")
+    q["sample_exact_per_tier"] = build(
+        "SELECT * FROM stg_members QUALIFY row_number() OVER "
+        f"(PARTITION BY risk_tier ORDER BY md5(member_id || ':11')) <= {SAMPLE_SIZE // 10}", "stg_members")
+    q["distinct_members_rollup"] = build("""
+        SELECT county, scn_region, primary_need_type, count(DISTINCT member_id) AS members,
+               grouping(county, scn_region, primary_need_type)::BIGINT AS grouping_level
+        FROM linked WHERE hrsn_flag GROUP BY ROLLUP (county, scn_region, primary_need_type)""", "linked")
     return q

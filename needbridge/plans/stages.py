@@ -20,12 +20,13 @@ from needbridge.operators import (
     link_first_followup,
     member_screenings,
     milestone_performance,
-    risk_intersection,
+    risk_from_linkage,
     stage_members,
     stage_renewals,
     stage_screenings,
     stage_services,
 )
+from needbridge.operators.heavy import HeavyKeys, heavy_keys
 from needbridge.operators.skew import DEFAULT_HOT_ROWS
 from needbridge.schemas import DY26_WINDOW
 
@@ -40,7 +41,6 @@ class Stages:
         self.raw = raw
         self.window = window
         self.hot_key_rows = hot_key_rows
-
     # staging (narrow, fused into the scans)
     @cached_property
     def stg_members(self) -> DataFrame:
@@ -75,9 +75,18 @@ class Stages:
     def int_service_linkage(self) -> DataFrame:
         return link_first_followup(self.int_member_screenings, self.stg_services)
 
+    @cached_property
+    def heavy_members(self) -> HeavyKeys:
+        """Members to salt in the outcome join.
+
+        Candidates come from one narrow scan of the staged screenings; the
+        linkage is counted only if there are any.
+        """
+        return heavy_keys(self.int_service_linkage, "member_id", candidates_from=self.stg_screenings)
+
     @cached_property
     def int_renewal_hrsn(self) -> DataFrame:
-        return join_outcomes(self.stg_renewals, self.int_service_linkage)
+        return join_outcomes(self.stg_renewals, self.int_service_linkage, heavy=self.heavy_members)
 
     # marts
     @cached_property
@@ -91,14 +100,8 @@ class Stages:
 
     @cached_property
     def mart_renewal_hrsn_risk(self) -> DataFrame:
-        return risk_intersection(self.int_renewal_hrsn, self.stg_members)
-
-    @cached_property
-    def member_activity(self) -> DataFrame:
-        """member_id of every staged screening and service: the cheap
-        superset on which hot members are counted."""
-        return self.stg_screenings.select("member_id").unionByName(
-            self.stg_services.select("member_id"))
+        # counts per member instead of the rows of int_renewal_hrsn
+        return risk_from_linkage(self.stg_renewals, self.int_service_linkage, self.stg_members)
 
     STAGING = ("stg_members", "stg_screenings", "stg_services", "stg_renewals")
     INTERMEDIATE = ("int_screenings_deduped", "int_member_screenings",

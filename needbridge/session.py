@@ -11,10 +11,6 @@ CORE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Split a skewed join even when that adds a shuffle below the next
-    # operator: the joins here feed per-member partial aggregates, so the
-    # extra shuffle moves pre-aggregated rows and costs little.
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
 }
@@ -36,9 +32,9 @@ SCALE_CONF = {
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint dir; set a private one only if unset.
 
-    On a cluster the dir is a shared, fault-tolerant path named by the
-    deployment in ``spark.checkpoint.dir``; the temporary fallback exists
-    for local tests only.
+    On a cluster the dir is a shared, fault-tolerant path that the
+    deployment must name in ``spark.checkpoint.dir``; a temporary folder is
+    taken in local mode only, where driver and executors are one process.
     """
     try:
         sc = spark.sparkContext
@@ -49,7 +45,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="nb-ckpt-")  # unset: local tests only
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="nb-ckpt-")
     sc.setCheckpointDir(d)
     return d
 

@@ -5,27 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from needbridge.sources.manifest import input_fingerprint
 
-_BOUND_CACHE: dict[tuple[str, int], bool] = {}
+# (fingerprint of the files read, bound) -> within the bound
+_CHECKED: dict[tuple[str, int], bool] = {}
 
 
-def checked_broadcast(dim: DataFrame, max_rows: int, cache_key: str | None = None) -> DataFrame:
+def checked_broadcast(dim: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast only when ``dim`` is proven to hold <= ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows, so it stays cheap even
     when the table turns out to be large; beyond the bound the plain
-    DataFrame is returned and the planner falls back to a shuffle join.
-    ``cache_key`` names an immutable input (e.g. a fixed dimension file) so
-    the check runs once per process.
+    DataFrame is returned and the planner falls back to a shuffle join.  It
+    runs again whenever a file that ``dim`` reads has changed.
     """
-    ck = (cache_key, max_rows) if cache_key else None
-    if ck and ck in _BOUND_CACHE:
-        small = _BOUND_CACHE[ck]
-    else:
-        small = dim.limit(max_rows + 1).count() <= max_rows
-        if ck:
-            _BOUND_CACHE[ck] = small
-    return F.broadcast(dim) if small else dim
+    at = (input_fingerprint(dim), max_rows)
+    if at not in _CHECKED:
+        _CHECKED[at] = dim.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(dim) if _CHECKED[at] else dim
 
 
 def lookup(

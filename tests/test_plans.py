@@ -6,8 +6,11 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from needbridge import operators as ops
 from needbridge.operators import quality as dq
+from needbridge.operators import rules as ru
 from needbridge.plans.catalog import DRIVER_WINDOW
+from needbridge.plans.pipeline import stage_rules
 from needbridge.plans.stages import Stages
 from needbridge.schemas import NEED_TYPES
 from needbridge.sources import driver
@@ -64,15 +67,62 @@ def test_dedupe_limits_before_shuffle(stages):
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
-def test_only_bounded_nested_loop_joins(stages, spark):
+def test_no_nested_loop_joins(stages, spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         for df in (stages().mart_scn_performance, stages().mart_renewal_hrsn_risk,
                    stages().mart_service_gap_index):
-            p = plan(df)
-            # the only nested-loop join allowed is the 1-row share-of-total total
-            for ln in p.split("\n"):
-                if "BroadcastNestedLoopJoin" in ln:
-                    assert "Cross" in ln
+            assert "NestedLoopJoin" not in plan(df) and "CartesianProduct" not in plan(df)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("build", [
+    lambda s: s.int_renewal_hrsn,
+    lambda s: s.mart_renewal_hrsn_risk,
+    lambda s: ops.risk_from_linkage(s.stg_renewals, s.int_service_linkage, s.stg_members, ["county"]),
+    lambda s: ops.risk_from_linkage(s.stg_renewals, s.int_service_linkage, s.stg_members, grain="member"),
+    lambda s: ops.risk_from_members_linkage(s.stg_members, s.stg_renewals, s.int_service_linkage),
+])
+def test_outcomes_read_each_source_once(stages, build):
+    p = plan(build(stages()))
+    # the counts per member need no service: that join is pruned away
+    assert len(scans(p, "renewals")) == len(scans(p, "screenings")) == 1
+    assert len(scans(p, "services")) <= 1
+
+
+def test_totals_come_from_one_evaluation(stages):
+    s = stages()
+    share = ops.share_of_total(s.int_member_screenings.groupBy("county").agg(F.count("*").alias("n")), "n", "pct")
+    for df in (s.mart_scn_performance, ops.milestone_by_screened(s.int_member_screenings, window=DRIVER_WINDOW), share):
+        p = plan(df)
+        assert len(scans(p, "screenings")) == 1
+        assert len(re.findall(r"WindowGroupLimit \[[^]]*\], .*, Partial", p)) == 1
+        # no window gathers all rows in one partition
+        assert "SinglePartition" not in p
+
+
+def test_followups_form_no_pairs(stages, spark):
+    s = stages()
+    events, services = s.int_member_screenings, s.stg_services
+    tracker = spark.sparkContext.statusTracker()
+    jobs = tracker.getJobIdsForGroup()
+    p = plan(ops.gap_after_screening(events, services))
+    assert len(scans(p, "services")) == 1
+    assert "Join" in p and ">=" not in "".join(ln for ln in p.split("\n") if "Join" in ln)
+    # no job runs while the plan is built
+    assert tracker.getJobIdsForGroup() == jobs
+
+
+def test_rollups_expand_groups_not_rows(stages):
+    link = stages().int_service_linkage
+    for df in (ops.gap_rollup(link), ops.distinct_rollup(link, "member_id", ["county", "primary_need_type"], "n")):
+        lines = plan(df).split("\n")
+        expand = next(i for i, ln in enumerate(lines) if "Expand" in ln)
+        assert "Aggregate" in lines[expand + 1]
+
+
+def test_quality_suite_row_rules_share_a_scan(stages):
+    s = stages()
+    p = plan(ru.profile(s.stg_screenings, stage_rules()["stg_screenings"], "staging", "stg_screenings"))
+    assert len(scans(p, "screenings")) == 1 and p.count("partial_avg") + p.count("partial_count") >= 3
