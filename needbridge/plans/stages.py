@@ -9,6 +9,7 @@ across stage boundaries, which the reference's stage-to-disk layout blocks.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -34,7 +35,7 @@ from needbridge.schemas import DY26_WINDOW
 class Stages:
     def __init__(
         self,
-        raw: dict[str, DataFrame],
+        raw: Mapping[str, DataFrame],
         window: tuple[str, str] = DY26_WINDOW,
         hot_key_rows: int | None = DEFAULT_HOT_ROWS,
     ):

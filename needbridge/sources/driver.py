@@ -16,6 +16,8 @@ flags, and resubmitted screenings whose later copy differs.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -219,5 +221,23 @@ SOURCES = {
 }
 
 
-def load_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: fn(spark, sf_dir) for name, fn in SOURCES.items()}
+class LazySources(Mapping):
+    """The four sources by name, each planned when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir, self._built = spark, sf_dir, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = SOURCES[name](self._spark, self._dir)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(SOURCES)
+
+    def __len__(self) -> int:
+        return len(SOURCES)
+
+
+def load_all(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    return LazySources(spark, sf_dir)
