@@ -18,7 +18,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -148,26 +149,24 @@ def run_pipeline(
     checked: list[dict] = []
     for layer, names in LAYERS:
         entries: dict[str, dict] = {}
-        seen = {}
-        for name in names:
-            if name not in marks:
-                # the raw sources it lacks, through all stages before it
-                res.skipped_stages[name] = _lacking(name, marks)
-                continue
-            old = state.current(name, marks[name])
-            # a reused stage passes on the verdicts it was published with
-            if old and not (halt_on_error and _failures(old["checks"])):
-                entries[name] = old
-                res.reused.append(name)
-            else:
-                path = f"{out_dir}/stages/{name}/{res.run_id}"
-                table, obs = ru.watch(getattr(s, name), rules.get(name, ()), f"{name}-{res.run_id}")
-                table.write.mode("errorifexists").parquet(path)
-                seen[name] = obs.get
-                entries[name] = {"path": path, "fingerprint": marks[name], "rows": int(seen[name]["rows"]),
-                                 "checks": ru.verdicts(rules.get(name, ()), seen[name], layer, name)}
-            # consumers read the written stage instead of recomputing it
-            s.__dict__[name] = spark.read.parquet(entries[name]["path"])
+        seen: set[str] = set()
+        # the raw sources that a stage lacks, through all stages before it
+        res.skipped_stages |= {n: _lacking(n, marks) for n in names if n not in marks}
+        for wave in _waves([n for n in names if n in marks]):
+            jobs = {}
+            for name in wave:
+                old = state.current(name, marks[name])
+                # a reused stage passes on the verdicts it was published with
+                if old and not (halt_on_error and _failures(old["checks"])):
+                    entries[name] = old
+                    res.reused.append(name)
+                else:
+                    jobs[name] = _write_job(s, name, layer, rules.get(name, ()), marks[name],
+                                            f"{out_dir}/stages/{name}/{res.run_id}")
+            entries |= _run_together(jobs)
+            seen |= set(jobs)
+            # consumers read the written stages instead of recomputing them
+            s.__dict__.update({n: spark.read.parquet(entries[n]["path"]) for n in wave})
         for name, needs, check in TABLE_CHECKS:
             if name in seen and all(n in marks for n in needs):
                 entries[name]["checks"] += [r.asDict() for r in check(s).collect()]
@@ -178,7 +177,7 @@ def run_pipeline(
             mf.write_new_text(spark, f"{out_dir}/_halted/{res.run_id}.json", json.dumps(
                 {"layer": layer, "stages": entries, "failed": failed}, indent=1, sort_keys=True))
             raise dq.QualityError(f"{layer}: {dq.describe(failed)}")
-        if any(n in seen for n in entries):
+        if seen:
             state.publish(entries, res.run_id)
         res.paths |= {n: e["path"] for n, e in entries.items()}
         res.rows |= {n: e["rows"] for n, e in entries.items()}
@@ -189,6 +188,39 @@ def run_pipeline(
     return res
 
 
+def _waves(names: Sequence[str]) -> list[list[str]]:
+    """Stages of a layer in groups that do not need each other."""
+    out: list[list[str]] = []
+    left = list(names)
+    while left:
+        wave = [n for n in left if not set(NEEDS[n]) & set(left)]
+        out.append(wave)
+        left = [n for n in left if n not in wave]
+    return out
+
+
+def _write_job(s: Stages, name: str, layer: str, rules: Sequence[ru.Rule], mark: str, path: str) -> Callable[[], dict]:
+    """Plan one stage; the returned call writes it and gives its manifest entry."""
+    table, obs = ru.watch(getattr(s, name), rules, f"{name}-{path.rsplit('/', 1)[-1]}")
+
+    def write() -> dict:
+        table.write.mode("errorifexists").parquet(path)
+        seen = obs.get
+        return {"path": path, "fingerprint": mark, "rows": int(seen["rows"]),
+                "checks": ru.verdicts(rules, seen, layer, name)}
+
+    return write
+
+
+def _run_together(jobs: Mapping[str, Callable[[], dict]]) -> dict[str, dict]:
+    """The jobs' results; Spark runs their tasks side by side."""
+    if len(jobs) < 2:
+        return {name: job() for name, job in jobs.items()}
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: r.result() for name, r in running.items()}
+
+
 def _lacking(name: str, marks: Mapping[str, str]) -> list[str]:
     if name not in NEEDS:
         return [] if name in marks else [name]
