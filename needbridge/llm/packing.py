@@ -52,7 +52,8 @@ class ChunkEncoder:
     def _ids(self, chunk: str) -> bytes:
         if self.plain(chunk):  # one word of the model, nothing to normalise or split
             ids = [t.id for t in self.tok.model.tokenize(chunk)]
-        elif chunk[-1:] in (".", ",") and chunk[:-1].isalpha():
+        elif chunk[-1:] in (".", ",") and unicodedata.normalize("NFC", chunk[:-1].lower()).isalpha():
+            # all letters after lowering too: a mark that lowering leaves joins the punctuation after it
             return self.ids(chunk[:-1]) + self.ids(chunk[-1])
         elif chunk.isalpha() and chunk.islower() and unicodedata.is_normalized("NFC", chunk):
             ids = [t.id for piece, _ in self.tok.pre_tokenizer.pre_tokenize_str(chunk)

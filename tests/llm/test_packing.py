@@ -4,15 +4,18 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from llm_docs import docs
 from needbridge.llm import packing
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
+_TOK = Tokenizer.from_file(PATH)
 TEXTS = ["", None, "Hello, world.", "don't stop", "ÉCOLE Straße İstanbul ΣΑΣ", "a\tb c  d\r\ne",
          "x...y,, z.", "<|endoftext|> and <|ENDOFTEXT|>", "é café.", "12.5 3,4 99%", "日本語 text",
-         "word " * 9000, "same text", "same text", "!!! ---", "naïve, été."]
+         "cİ, İ. x", "<|endoftext|> b文İ.", "word " * 9000, "same text", "same text", "!!! ---", "naïve, été."]
 
 
 def test_encoder_equals_the_tokenizer():
@@ -22,6 +25,15 @@ def test_encoder_equals_the_tokenizer():
         assert np.frombuffer(enc.encode(text or ""), np.uint32).tolist() == want, text
 
 
+@settings(max_examples=3000, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from("aBcé İΣσßﬁ.,;'-\u0301\u0307文日1 \n<|endoftext>"), st.characters(
+    codec="utf-8")), max_size=24))
+def test_encoder_equals_the_tokenizer_on_random_text(text):
+    tok, enc = _TOK, packing.encoder(PATH)
+    want = tok.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(enc.encode(text), np.uint32).tolist() == want
+
+
 @pytest.mark.parametrize("counts, capacity", [
     ({10: 3, 7: 5, 3: 9, 1: 4}, 10), ({6: 4, 5: 4, 4: 4, 3: 4}, 10), ({4096: 2, 5: 1}, 4096), ({}, 8), ({1: 1}, 8)])
 def test_plan_packs_every_length_once(counts, capacity):
