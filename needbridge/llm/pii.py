@@ -3,8 +3,8 @@
 Fixed patterns give the base spans.  Wider generators propose overlapping
 candidates of each kind (spelled-out addresses, numbers in other groupings);
 boosted trees score them from their format and their context, and those above
-a threshold calibrated on held-out candidates are added where they overlap no
-span of their kind.  Positive in training are candidates that overlap a base
+their kind's threshold, calibrated on held-out candidates, are added where they
+overlap no other span.  Positive in training are candidates that overlap a base
 span, base spans rewritten into the wider forms where they stand, and numbers
 of the right shape right after a cue word, so the trees learn the forms that
 the patterns miss.  Unmatched candidates next to a
@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -122,8 +123,29 @@ def features(text: str, kind: int, start: int, end: int) -> list[float]:
     ]
 
 
-def _overlaps(spans: list[tuple[int, int]], start: int, end: int) -> bool:
-    return any(a < end and start < b for a, b in spans)
+class _Cover:
+    """What a set of spans covers, as disjoint sorted stretches."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]] = ()):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, b in sorted(spans):
+            if self.ends and a < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, start: int, end: int) -> bool:
+        # of disjoint stretches, the last that starts before `end` reaches furthest
+        at = bisect_left(self.starts, end) - 1
+        return at >= 0 and self.ends[at] > start
+
+    def add(self, start: int, end: int) -> None:
+        """A span that meets none of the others."""
+        at = bisect_left(self.starts, start)
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
 
 
 def rewritten(text: str, kind: int, start: int, end: int, way: int) -> tuple[str, int, int]:
@@ -161,52 +183,65 @@ def _evident(text: str, kind: int, start: int, end: int) -> bool:
 
 
 class Model:
-    """Trees and threshold; adds nothing where there was nothing to learn from."""
+    """Trees and a threshold for each kind; adds nothing of a kind of which there was nothing to learn."""
 
     def __init__(self, texts: list[str], precision: float = PRECISION):
-        rows, labels, groups = [], [], []
+        rows, labels, groups, addable = [], [], [], []
         ways = [0] * len(KINDS)
         for group, text in enumerate(texts):
             base = base_spans(text)
-            every = [span for spans in base.values() for span in spans]
-            found = [(text, c, _overlaps(base[KINDS[c[0]]], c[1], c[2])
-                      or (not _overlaps(every, c[1], c[2]) and _evident(text, *c))) for c in candidates(text)]
-            found = [(t, c, y) for t, c, y in found if y or not _cued(t, *c) or _overlaps(every, c[1], c[2])
-                     or _DATE.fullmatch(t[c[1]:c[2]])]
+            of_kind = [_Cover(base[name]) for name in KINDS]
+            every = _Cover(span for spans in base.values() for span in spans)
+            found = []
+            for c in candidates(text):
+                kind, start, end = c
+                # only what meets no base span may be added; over one of another kind it is a negative
+                free = not every.meets(start, end)
+                y = of_kind[kind].meets(start, end) or (free and _evident(text, *c))
+                if y or not free or not _cued(text, *c) or _DATE.fullmatch(text[start:end]):
+                    found.append((text, c, y, free))
             for kind, name in enumerate(KINDS):
                 for start, end in base[name]:
                     wide, a, b = rewritten(text, kind, start, end, ways[kind])
                     ways[kind] += 1
-                    own = base_spans(wide)[name]
-                    found += [(wide, c, True) for c in candidates(wide)
-                              if c[0] == kind and c[1] < b and a < c[2] and not _overlaps(own, c[1], c[2])]
-            for t, c, y in found:
+                    own = _Cover(base_spans(wide)[name])
+                    found += [(wide, c, True, True) for c in candidates(wide)
+                              if c[0] == kind and c[1] < b and a < c[2] and not own.meets(c[1], c[2])]
+            for t, c, y, free in found:
                 rows.append(features(t, *c))
                 labels.append(y)
                 groups.append(group)
-        self.trees, self.threshold = None, float("inf")
+                addable.append(free)
+        self.trees, self.thresholds = None, np.full(len(KINDS), np.inf)
         y = np.asarray(labels, float)
         if len(rows) >= 40 and 0 < y.sum() < len(y):
             x = np.asarray(rows, float)
             group = np.unique(groups, return_inverse=True)[1]  # a text's rows are held out together
             held = (group if group.max() >= 8 else np.arange(len(y))) % 4 == 0
             self.trees = BoostedTrees().fit(x[~held], y[~held])
-            self.threshold = calibrated_threshold(self.trees.predict(x[held]), y[held], precision)
+            held = held & np.asarray(addable)
+            score = self.trees.predict(x[held])
+            for kind in range(len(KINDS)):
+                own = x[held][:, 0] == kind
+                self.thresholds[kind] = calibrated_threshold(score[own], y[held][own], precision)
 
     def added(self, text: str, base: dict[str, list[tuple[int, int]]]) -> list[tuple[int, int, int]]:
-        """Candidates above the threshold that overlap no base span of their kind, the best first, none twice."""
+        """Candidates above their kind's threshold that meet no base span of any kind, the best first, none twice."""
         if self.trees is None:
             return []
-        open_ = [c for c in candidates(text) if not _overlaps(base[KINDS[c[0]]], c[1], c[2])]
+        every = _Cover(span for spans in base.values() for span in spans)
+        open_ = [c for c in candidates(text) if not every.meets(c[1], c[2])]
         if not open_:
             return []
         score = self.trees.predict(np.asarray([features(text, *c) for c in open_], float))
-        taken: dict[int, list] = {}
-        for i in sorted(np.flatnonzero(score >= self.threshold), key=lambda i: (-score[i], open_[i])):
+        kinds = np.asarray([c[0] for c in open_])
+        taken, out = _Cover(), []
+        for i in sorted(np.flatnonzero(score >= self.thresholds[kinds]), key=lambda i: (-score[i], open_[i])):
             kind, start, end = open_[i]
-            if not _overlaps(taken.setdefault(kind, []), start, end):
-                taken[kind].append((start, end))
-        return [(k, *span) for k, spans in taken.items() for span in spans]
+            if not taken.meets(start, end):
+                taken.add(start, end)
+                out.append((kind, start, end))
+        return out
 
 
 def _joined(spans: dict[str, list[tuple[int, int]]]) -> str:
@@ -252,18 +287,27 @@ def find(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def redact(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` with each span's characters replaced by its kind in brackets; doc_id must be unique."""
+    """``docs`` with each span's characters replaced by its kind in brackets; doc_id must be unique.
+
+    Spans that overlap are replaced as one stretch that names the kinds of all of them.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist()):
-                last = len(text or "")
-                parts = []
-                for kind, a, b in sorted((s.split(":") for s in (spans or "").split(",") if s), key=lambda s: -int(s[1])):
-                    if int(b) <= last:
-                        parts += [text[int(b):last], f"[{kind}]"]
-                        last = int(a)
-                out.append(None if text is None else text[:last] + "".join(reversed(parts)))
+                stretches: list[list] = []
+                for kind, a, b in sorted((s.split(":") for s in (spans or "").split(",") if s),
+                                         key=lambda s: (int(s[1]), int(s[2]))):
+                    if stretches and int(a) < stretches[-1][1]:
+                        stretches[-1][1] = max(stretches[-1][1], int(b))
+                        stretches[-1][2].append(kind)
+                    else:
+                        stretches.append([int(a), int(b), [kind]])
+                parts, last = [], 0
+                for a, b, kinds in stretches:
+                    parts += [text[last:a], f"[{'+'.join(dict.fromkeys(kinds))}]"]
+                    last = b
+                out.append(None if text is None else "".join(parts) + text[last:])
             names = batch.schema.names
             cols = [pa.array(out, pa.string()) if c == "text" else batch.column(c) for c in names if c != "_spans"]
             yield pa.RecordBatch.from_arrays(cols, names=[c for c in names if c != "_spans"])

@@ -93,3 +93,32 @@ def test_spelled_out_forms_are_added(spark):
     plain = [i for i, text in enumerate(t) if text and text.startswith("please call")]
     dates = [s for i in plain for s in got[i].spans.split(",") if s and "/" in t[i][int(s.split(":")[1]):int(s.split(":")[2])]]
     assert len(dates) < 10
+
+
+def test_no_added_span_meets_a_base_span(spark):
+    t = texts() + [f"host ip 43.21.{i}.162 tel +1 (443) 555-{5000 + i} phone" for i in range(150)]
+    added = 0
+    for r in pii.find(docs(spark, t), pii.train(docs(spark, t))).collect():
+        base = {f"{k}:{a}:{b}" for k, spans in brute(t[r.doc_id]).items() for a, b in spans}
+        spans = [s for s in r.spans.split(",") if s]
+        where = sorted((int(s.split(":")[1]), int(s.split(":")[2]), s in base) for s in spans)
+        added += r.n_added
+        assert r.n_added == len(set(spans) - base)
+        for i, (a, b, known) in enumerate(where):
+            assert known or not any(x < b and a < y for j, (x, y, _) in enumerate(where) if j != i), t[r.doc_id]
+    assert added > 300
+
+
+def test_redact_overlapping_spans(spark):
+    d = docs(spark, ["1.2.3.4 4111111111111111 x", "abc"])
+    spans = spark.createDataFrame([(0, "ip:0:7,card:4:24,phone:8:12"), (1, "")], "doc_id long, spans string")
+    assert [r.text for r in pii.redact(d, spans).orderBy("doc_id").collect()] == ["[ip+card+phone] x", "abc"]
+
+
+def test_many_spans_in_one_text_take_linear_time():
+    import time
+    text = " ".join(f"a{i}@b{i}.org 10.0.{i % 256}.1 +4912345{i:05d} tel 0049 1234{i:05d}" for i in range(20_000))
+    model = pii.Model(texts()[-400:])
+    start = time.monotonic()
+    added = model.added(text, pii.base_spans(text))
+    assert time.monotonic() - start < 60 and len(added) > 1000
