@@ -119,7 +119,7 @@ def test_segments_do_not_show(spark, monkeypatch):
     assert [(r["pos"], r["key"]) for r in df.select(syncmers.anchors(F.col("text"))).first()[0]] == whole
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.lists(st.text(alphabet="ab é\n", max_size=70), min_size=1, max_size=5))
 def test_random_texts(spark, texts):
     rows = list(enumerate(texts))
