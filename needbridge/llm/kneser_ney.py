@@ -4,8 +4,8 @@ The model of each language is trained on all trusted text.  Tasks count the
 n-grams of their batches; the sums, the lower orders' continuation counts, the
 discounts and the interpolated probabilities are Spark joins and aggregates
 keyed by (language, n-gram).  Scoring asks for each n-gram once per chunk of
-documents: the chunks' distinct n-grams are joined with the sharded model, and
-each chunk's answers meet its texts again in one co-group.  A document is
+documents: the chunks' distinct n-grams, packed by shard, are joined with the
+sharded model, and each chunk's answers meet its texts again in one co-group.  A document is
 rejected when its perplexity is above its language's threshold: a high quantile
 of the trusted documents' held-out perplexities.  For these, trusted documents
 are dealt into folds by a hash of their id, and each fold is scored by a model
@@ -15,13 +15,15 @@ of the other folds, whose counts are all counts minus the fold's.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from needbridge.llm import textkeys as tk
@@ -34,6 +36,8 @@ KEEP_QUANTILE = 0.995
 FOLDS = 5
 #: Characters of a chunk, about: what one scoring task holds.
 CHUNK_CHARS = 24_000_000
+#: Shards of a model's n-grams.
+SHARDS = 64
 #: Characters that a task turns into n-gram keys at once.
 SLICE_CHARS = 1_000_000
 #: Trusted ids are broadcast up to this many (8 bytes each); beyond it they are joined by shuffle.
@@ -206,89 +210,239 @@ def gram_log_probs(grams: DataFrame, tables: tuple) -> DataFrame:
         F.log(F.coalesce("p", F.col("w") * F.col("p_unknown"))).cast("float").alias("logp"))
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, str, list[int], list[str]]]:
-    """(chunk, lang, doc_ids, prepared texts): a task's documents by language, cut at CHUNK_CHARS.
+class _Chunk(NamedTuple):
+    """A task's documents of one language: number, language, ids, folds (of the trusted), prepared texts."""
+
+    number: int
+    lang: str
+    ids: list
+    folds: list
+    texts: list
+
+    def models(self) -> Iterator[tuple[str, list[str]]]:
+        """(model key, texts it scores): the model of all folds all texts, another its own fold's."""
+        yield f":{self.lang}", self.texts
+        for fold in sorted(set(self.folds) - {None}):
+            yield f"{fold}:{self.lang}", [t for t, f in zip(self.texts, self.folds) if f == fold]
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Chunk]:
+    """A task's documents by language, cut at CHUNK_CHARS.
 
     Both passes over the documents cut alike, since a task reads its rows in file order.
     """
     first = TaskContext.get().partitionId() << 32
-    held: dict[str, tuple[list, list, list]] = {}
+    held: dict[str, tuple[list, list, list, list]] = {}
     for batch in batches:
-        ids, langs = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-        for doc_id, lang, text in zip(ids, langs, batch.column(1)):
-            keys, texts, size = held.setdefault(lang, ([], [], [0]))
+        rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "lang", "fold")), batch.column("text"))
+        for doc_id, lang, fold, text in rows:
+            ids, folds, texts, size = held.setdefault(lang, ([], [], [], [0]))
             text = prepared(text.as_py())
-            keys.append(doc_id)
+            ids.append(doc_id)
+            folds.append(fold)
             texts.append(text)
             size[0] += len(text)
             if size[0] >= CHUNK_CHARS:
                 del held[lang]
-                yield first, lang, keys, texts
+                yield _Chunk(first, lang, ids, folds, texts)
                 first += 1
     for lang in sorted(held):
-        yield first, lang, held[lang][0], held[lang][1]
+        yield _Chunk(first, lang, *held[lang][:3])
         first += 1
 
 
-def perplexities(texts: DataFrame, tables: tuple) -> DataFrame:
-    """(doc_id, lang, perplexity); null for texts without characters or without a model.
+def _shard(last: F.Column | np.ndarray, before: F.Column | np.ndarray) -> F.Column | np.ndarray:
+    """Shard of an n-gram, from the code points of its last two characters."""
+    return (last * 31 + before) % SHARDS
 
-    ``texts`` is (doc_id, text, lang), lang a model's key; it is read twice in
-    the same order.
-    """
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, lang, _, held in _chunks(batches):
-            grams, _ = distinct_grams(held)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk] * len(grams), pa.int64()), pa.array([lang] * len(grams), pa.string()),
-                 pa.array(grams, pa.string())], names=["chunk", "lang", "gram"])
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, lang, ids, held in _chunks(batches):
-            sizes = np.asarray([len(t) for t in held], np.int64).tobytes()
-            packed = zstandard.ZstdCompressor(3).compress("".join(held).encode("utf-8", "surrogatepass"))
-            valid = pa.array(ids, pa.int64())
+
+def _packed(points: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(3).compress(np.ascontiguousarray(points, np.uint32).tobytes())
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint32).reshape(-1, ORDER)
+
+
+def _keys_of(points: np.ndarray) -> np.ndarray:
+    return gram_keys(points.ravel())[::ORDER] if len(points) else tk.EMPTY
+
+
+def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per chunk, model and shard: the distinct n-grams, sorted and packed."""
+    for chunk in _chunks(batches):
+        for key, texts in chunk.models():
+            grams, _ = distinct_grams(texts)
+            if not grams:
+                continue
+            points = code_points("".join(grams)).reshape(-1, ORDER)
+            shard = _shard(points[:, -1].astype(np.int64), points[:, -2].astype(np.int64))
+            order = np.lexsort((*points.T[::-1], shard))
+            points, shard = points[order], shard[order]
+            cuts = np.flatnonzero(np.diff(shard, prepend=-1))
+            parts = np.split(points, cuts[1:])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk]), pa.array([lang]), pa.array([ids], pa.list_(valid.type)),
-                 pa.array([sizes], pa.binary()), pa.array([packed], pa.binary())],
-                names=["chunk", "lang", "ids", "sizes", "packed"])
-
-    asked = materialize(texts.mapInArrow(ask, "chunk long, lang string, gram string"), "asked")
-    told = gram_log_probs(asked.select("lang", "gram").distinct(), tables).select(
-        F.col("lang").alias("t_lang"), F.col("gram").alias("t_gram"), "logp")
-    answers = asked.join(told, (F.col("lang") == F.col("t_lang")) & (F.col("gram") == F.col("t_gram"))).select(
-        F.col("chunk").alias("a_chunk"), "gram", "logp")
-    sent = texts.mapInArrow(send, "chunk long, lang string, ids array<long>, sizes binary, packed binary")
-
-    def score(chunk: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
+                [pa.array([chunk.number] * len(parts), pa.int64()), pa.array([key] * len(parts), pa.string()),
+                 pa.array(shard[cuts], pa.int32()), pa.array([_packed(p) for p in parts], pa.binary())],
+                names=["chunk", "lang", "shard", "grams"])
+
+
+def _union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct n-grams of each model and shard; rows come ordered by these."""
+    group, known, waiting, size = None, np.zeros((0, ORDER), np.uint32), [], 0
+
+    def merged() -> np.ndarray:
+        points = np.concatenate([known, *waiting])
+        return points[np.unique(_keys_of(points), return_index=True)[1]]
+
+    def rows() -> pa.RecordBatch:
+        text = merged().tobytes().decode("utf-32-le", "surrogatepass")
+        grams = [text[i:i + ORDER] for i in range(0, len(text), ORDER)]
+        return pa.RecordBatch.from_arrays([pa.array([group[0]] * len(grams), pa.string()), pa.array(grams, pa.string())],
+                                          names=["lang", "gram"])
+
+    for batch in batches:
+        for lang, shard, raw in zip(*(batch.column(c).to_pylist() for c in ("lang", "shard", "grams"))):
+            if (lang, shard) != group:
+                if group:
+                    yield rows()
+                group, known, waiting, size = (lang, shard), known[:0], [], 0
+            waiting.append(_unpacked(raw))
+            size += len(waiting[-1])
+            if size > max(1_000_000, len(known)):
+                known, waiting, size = merged(), [], 0
+    if group:
+        yield rows()
+
+
+def _tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each model and shard: sorted n-gram keys and their log-probabilities."""
+    group, grams, logps = None, [], []
+
+    def row() -> pa.RecordBatch:
+        keys = _keys_of(code_points("".join(grams)).reshape(-1, ORDER))
+        order = np.argsort(keys)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([group[0]], pa.string()), pa.array([group[1]], pa.int32()), pa.array([keys[order].tobytes()], pa.binary()),
+             pa.array([np.asarray(logps, np.float32)[order].tobytes()], pa.binary())],
+            names=["lang", "shard", "keys", "logps"])
+
+    for batch in batches:
+        for lang, shard, gram, logp in zip(*(batch.column(c).to_pylist() for c in ("lang", "shard", "gram", "logp"))):
+            if (lang, shard) != group:
+                if group:
+                    yield row()
+                group, grams, logps = (lang, shard), [], []
+            grams.append(gram)
+            logps.append(logp)
+    if group:
+        yield row()
+
+
+def _found(known: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Values of the ``asked`` keys among the sorted ``known``; an error if one is not there."""
+    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+    if not np.array_equal(known[at], asked):
+        raise RuntimeError("an n-gram has no answer: chunks were cut otherwise when they were asked for")
+    return values[at]
+
+
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Log-probabilities of each row's n-grams, in their order."""
+    for batch in batches:
         out = []
-        if len(answer):
-            known = gram_keys(code_points("".join(answer["gram"])))[::ORDER]
-            order = np.argsort(known)
-            known, logp = known[order], answer["logp"].to_numpy(np.float64)[order]
-        for row in chunk.itertuples():
-            sizes = np.frombuffer(row.sizes, np.int64)
-            value = np.full(len(sizes), np.nan)
-            text = zstandard.ZstdDecompressor().decompress(row.packed).decode("utf-8", "surrogatepass") if len(answer) else ""
-            stops = np.cumsum(sizes)
-            texts = [text[b - n:b] for b, n in zip(stops, sizes)] if text else []
-            for start, stop in slices(texts):
-                own = sizes[start:stop]
-                points = code_points("".join(texts[start:stop]))
-                if len(points) < ORDER:
+        for grams, keys, logps in zip(*(batch.column(c).to_pylist() for c in ("grams", "keys", "logps"))):
+            out.append(_found(np.frombuffer(keys, np.uint64), np.frombuffer(logps, np.float32),
+                              _keys_of(_unpacked(grams))).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("lang"), batch.column("grams"),
+                                          pa.array(out, pa.binary())], names=["a_chunk", "a_lang", "grams", "logps"])
+
+
+def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for chunk in _chunks(batches):
+        sizes = np.asarray([len(t) for t in chunk.texts], np.int64).tobytes()
+        packed = zstandard.ZstdCompressor(3).compress("".join(chunk.texts).encode("utf-8", "surrogatepass"))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([chunk.number], pa.int64()), pa.array([chunk.lang], pa.string()),
+             pa.array([chunk.ids], pa.list_(pa.int64())), pa.array([chunk.folds], pa.list_(pa.string())),
+             pa.array([sizes], pa.binary()), pa.array([packed], pa.binary())],
+            names=["chunk", "lang", "ids", "folds", "sizes", "packed"])
+
+
+def _score(chunk: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
+    """Perplexities of a chunk's documents, and held-out ones of the trusted."""
+    tables: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    for key, rows in answer.groupby("a_lang"):
+        keys = np.concatenate([_keys_of(_unpacked(g)) for g in rows["grams"]])
+        order = np.argsort(keys)
+        tables[key] = keys[order], np.concatenate([np.frombuffer(v, np.float32) for v in rows["logps"]])[order].astype(np.float64)
+    out = []
+    for row in chunk.itertuples():
+        sizes, folds = np.frombuffer(row.sizes, np.int64), np.asarray(list(row.folds), object)
+        value = {"perplexity": np.full(len(sizes), np.nan), "held_out": np.full(len(sizes), np.nan)}
+        text = zstandard.ZstdDecompressor().decompress(row.packed).decode("utf-8", "surrogatepass") if tables else ""
+        stops = np.cumsum(sizes)
+        texts = [text[b - n:b] for b, n in zip(stops, sizes)] if text else []
+        for start, stop in slices(texts):
+            own, of = sizes[start:stop], folds[start:stop]
+            points = code_points("".join(texts[start:stop]))
+            if len(points) < ORDER:
+                continue
+            ends = np.flatnonzero(points[ORDER - 1:] != ord(PAD))
+            keys, doc = gram_keys(points)[ends], np.repeat(np.arange(len(own)), own)[ends + ORDER - 1]
+            ask = [("perplexity", f":{row.lang}", np.ones(len(own), bool))]
+            ask += [("held_out", f"{f}:{row.lang}", of == f) for f in sorted({f for f in of if f is not None})]
+            for name, model_key, docs in ask:
+                if model_key not in tables:
                     continue
-                at = np.zeros(len(points))
-                ends = np.flatnonzero(points[ORDER - 1:] != ord(PAD))
-                at[ends + ORDER - 1] = logp[np.searchsorted(known, gram_keys(points)[ends])]
-                sums, last = np.r_[0.0, np.cumsum(at)], np.cumsum(own)
-                some = own > ORDER - 1
-                value[start:stop][some] = np.exp(-(sums[last] - sums[last - own])[some] / (own - ORDER + 1)[some])
-            out.append(pd.DataFrame({"doc_id": pd.array(list(row.ids), "Int64"), "lang": row.lang, "perplexity": value}))
-        return pd.concat(out)
+                mine = docs[doc]
+                sums = np.bincount(doc[mine], _found(*tables[model_key], keys[mine]), len(own))
+                some = docs & (own > ORDER - 1)
+                value[name][start:stop][some] = np.exp(-sums[some] / (own[some] - ORDER + 1))
+        out.append(pd.DataFrame({"doc_id": pd.array(list(row.ids), "Int64"), "lang": row.lang, **value}))
+    return pd.concat(out)
+
 
+@contextmanager
+def same_splits(spark: SparkSession) -> Iterator[None]:
+    """Within it, files are cut alike by every job, though executors come and go in between.
+
+    Spark derives splits from the cores it has at the moment unless their least number is set.
+    """
+    name = "spark.sql.files.minPartitionNum"
+    known = spark.conf.get(name, None)
+    if known is None:
+        spark.conf.set(name, spark.conf.get("spark.sql.leafNodeDefaultParallelism", None)
+                       or str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if known is None:
+            spark.conf.unset(name)
+
+
+def perplexities(texts: DataFrame, tables: tuple) -> DataFrame:
+    """(doc_id, lang, perplexity, held_out); null for texts without characters or without a model.
+
+    ``texts`` is (doc_id, text, lang, fold): the fold of a trusted document,
+    null for others; ``held_out`` is by the model that leaves it out.  ``texts`` is
+    read twice in the same order, so this call and the first job on its result
+    belong in one ``same_splits``; a chunk that lacks an answer raises an error.
+    """
+    asked = materialize(texts.mapInArrow(_ask, "chunk long, lang string, shard int, grams binary"), "asked")
+    distinct = asked.drop("chunk").repartition(SHARDS, "lang", "shard").sortWithinPartitions("lang", "shard").mapInArrow(
+        _union, "lang string, gram string")
+    shard = _shard(F.ascii(F.substring("gram", ORDER, 1)), F.ascii(F.substring("gram", ORDER - 1, 1))).cast("int")
+    told = materialize(gram_log_probs(distinct, tables).where("logp is not null").withColumn("shard", shard).repartition(
+        SHARDS, "lang", "shard").sortWithinPartitions("lang", "shard").mapInArrow(
+        _tell, "lang string, shard int, keys binary, logps binary"), "told")
+    answers = asked.join(told, ["lang", "shard"]).mapInArrow(
+        _answer, "a_chunk long, a_lang string, grams binary, logps binary")
+    sent = texts.mapInArrow(_send, "chunk long, lang string, ids array<long>, folds array<string>, sizes binary, packed binary")
     scored = sent.groupBy("chunk").cogroup(answers.groupBy("a_chunk")).applyInPandas(
-        score, "doc_id long, lang string, perplexity double")
-    return scored.withColumn("perplexity", F.nanvl("perplexity", F.lit(None).cast("double")))
+        _score, "doc_id long, lang string, perplexity double, held_out double")
+    null = F.lit(None).cast("double")
+    return scored.select("doc_id", "lang", *[F.nanvl(c, null).alias(c) for c in ("perplexity", "held_out")])
 
 
 def judge(docs: DataFrame, labels: DataFrame, quantile: float = KEEP_QUANTILE) -> DataFrame:
@@ -307,16 +461,13 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = KEEP_QUANTILE) -
     texts = _language(docs)
     trusted = texts.join(side, F.col("doc_id") == F.col("trusted_id"), "left_semi")
     tables = model(materialize(count_grams(trusted), "counts"))
-    models = F.when(F.col("trusted_id").isNull(), F.array(_key(""))).otherwise(F.array(_key(""), _key(_fold())))
     asked = texts.join(side, F.col("doc_id") == F.col("trusted_id"), "left").select(
-        "doc_id", "text", F.explode(models).alias("lang"))
+        "doc_id", "text", "lang", F.when(F.col("trusted_id").isNotNull(), _fold()).alias("fold"))
     asked = asked if few else materialize(asked, "asked-texts")  # a shuffle keeps no order
-    scored = materialize(perplexities(asked, tables), "perplexities").select(
-        "doc_id", F.expr("substring(lang, locate(':', lang) + 1)").alias("lang"), "perplexity",
-        (~F.col("lang").startswith(":")).alias("held_out"))
-    by_lang = scored.where("held_out").groupBy("lang").agg(
-        F.percentile_approx("perplexity", quantile, 10_000).alias("own_threshold")).withColumnRenamed("lang", "t_lang")
-    scored = scored.where("not held_out")
+    with same_splits(docs.sparkSession):
+        scored = materialize(perplexities(asked, tables), "perplexities")
+    by_lang = scored.where("held_out is not null").groupBy("lang").agg(
+        F.percentile_approx("held_out", quantile, 10_000).alias("own_threshold")).withColumnRenamed("lang", "t_lang")
     return scored.join(by_lang, F.col("lang") == F.col("t_lang"), "left").select(
         "doc_id", F.nullif("lang", F.lit("")).alias("lang"), "perplexity", F.col("own_threshold").alias("threshold"),
         F.coalesce(F.col("perplexity") <= F.col("own_threshold"), F.lit(True)).alias("kept"))

@@ -121,3 +121,32 @@ def test_languages_without_a_model_are_not_judged(spark):
     for i in (202, 203):
         assert got[i].kept and got[i].perplexity is None and got[i].threshold is None
     assert [got[202].lang, got[203].lang] == [None, "de"]
+
+
+def test_executors_may_change_between_the_passes(spark, monkeypatch, tmp_path):
+    rows, labels = corpus()
+    spark.createDataFrame(rows * 3, DOC_SCHEMA).repartition(3).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    want = sorted(map(tuple, kn.judge(docs, lab).collect()), key=str)
+    plain, cores = kn.materialize, "spark.sql.leafNodeDefaultParallelism"
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set(cores, "2")
+    splits = []
+
+    def changing(df, tag):
+        out = plain(df, tag)
+        if tag == "asked":
+            spark.conf.set(cores, "16")
+            splits.append(docs.select("text").rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(kn, "materialize", changing)
+    try:
+        before = docs.select("text").rdd.getNumPartitions()
+        got = sorted(map(tuple, kn.judge(docs, lab).collect()), key=str)
+        assert docs.select("text").rdd.getNumPartitions() != before == splits[0]
+    finally:
+        spark.conf.unset(cores)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == want
