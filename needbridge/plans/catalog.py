@@ -7,6 +7,7 @@ live in ``needbridge.plans.oracle`` under the same names.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,11 +17,15 @@ from needbridge import operators as ops
 from needbridge.operators import quality as dq
 from needbridge.operators import reporting as rep
 from needbridge.operators import sampling as smp
+from needbridge.operators.increment import merge_latest, read_latest
+from needbridge.plans.pipeline import mart_order, open_run, quality_suite, run_pipeline
 from needbridge.plans.stages import Stages
 from needbridge.schemas import NEED_TYPES
+from needbridge.session import ensure_checkpoint_dir
 from needbridge.sources import driver
 from needbridge.sources.lookup import lookup
 from needbridge.sources import raw as rawsrc
+from needbridge.sources.sinks import export_csv
 
 # Milestone window for the driver data (its order dates span 1995–2001).
 DRIVER_WINDOW = ("1997-01-01", "1997-03-31")
@@ -314,5 +319,42 @@ def distinct_members_rollup(spark, d):
     return ops.distinct_rollup(link, "member_id", ["county", "scn_region", "primary_need_type"], "members")
 
 
+# --- what is written and read back ------------------------------------------
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one of the session."""
+    return f"{ensure_checkpoint_dir(spark)}/needbridge-{name}-{uuid.uuid4().hex}"
+
+
+@query
+def published_risk(spark, d):
+    """The risk mart as a whole run publishes it: 11 stages written, checked and read back."""
+    out = _scratch(spark, "run")
+    run_pipeline(spark, driver.load_all(spark, d), out, window=DRIVER_WINDOW, export=False, halt_on_error=False)
+    return open_run(spark, out)["mart_renewal_hrsn_risk"]
+
+
+@query
+def quality_results(spark, d):
+    """Every check of a run, row rules fused into one aggregate per table."""
+    return quality_suite(stages(spark, d))
+
+
+@query
+def exported_gap_index(spark, d):
+    """The gap index as its CSV parts hold it."""
+    out, mart = _scratch(spark, "csv"), stages(spark, d).mart_service_gap_index
+    export_csv({"mart": mart}, out, {"mart": mart_order()["mart_service_gap_index"]}, layout="parts", parts=4)
+    return spark.read.schema(mart.schema).option("header", True).csv(f"{out}/mart")
+
+
+@query
+def dedupe_in_batches(spark, d):
+    """``dedupe_latest`` reached by merging the second submission into the table of the first."""
+    path = _scratch(spark, "latest")
+    for batch in driver.screening_batches(spark, d):
+        merge_latest(path, ops.stage_screenings(batch))
+    return read_latest(spark, path)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)

@@ -435,18 +435,18 @@ def oracle_sql() -> dict[str, str]:
         _dup("stg_screenings", "staging") + " UNION ALL "
         + _dup("latest", "intermediate", "int_screenings_deduped"), "stg_screenings",
         "latest")
-    share = "CASE WHEN COUNT(*) = 0 THEN 1.0 ELSE COUNT(m.k) / COUNT(*) END"
+    share = "COUNT(m.k) / NULLIF(COUNT(*), 0)"
     q["dq_referential"] = build(
         _dq("'referential:member_id'", "intermediate", "'screenings->members'", share, 1.0,
-            "error", f"{share} >= 1.0")
+            "error", f"COALESCE({share} >= 1.0, FALSE)")
         + " FROM (SELECT member_id FROM latest WHERE member_id IS NOT NULL) s"
           " LEFT JOIN (SELECT DISTINCT member_id AS k FROM stg_members"
           " WHERE member_id IS NOT NULL) m ON s.member_id = m.k",
         "latest", "stg_members")
-    comp = "CASE WHEN COUNT(*) = 0 THEN 1.0 ELSE COUNT(dy26_milestone_status) / COUNT(*) END"
+    comp = "COUNT(dy26_milestone_status) / NULLIF(COUNT(*), 0)"
     q["dq_completeness"] = build(
         _dq("'completeness:dy26_milestone_status'", "marts", "'mart_scn_performance'", comp, 1.0,
-            "error", f"{comp} >= 1.0") + " FROM milestones", "milestones")
+            "error", f"COALESCE({comp} >= 1.0, FALSE)") + " FROM milestones", "milestones")
     q["dq_gap_alert"] = build(
         _dq("'gap_rate_anomaly'", "marts", "county", "service_gap_rate_pct", 80.0, "warn",
             "COALESCE(service_gap_rate_pct <= 80.0, TRUE)") + " FROM gap_by_county",
@@ -456,6 +456,15 @@ def oracle_sql() -> dict[str, str]:
             "screened_dy26 / NULLIF(total_members, 0)", 0.25, "warn",
             "COALESCE(dy26_milestone_status = 'On track', FALSE)") + " FROM milestones",
         "milestones")
+    deduped_keys = build(_dup("latest", "intermediate", "int_screenings_deduped"), "latest")
+    q["quality_results"] = " UNION ALL BY NAME ".join(f"SELECT * FROM ({part})" for part in (
+        deduped_keys, *[q[f"dq_{name}"] for name in ("null_rates", "allowed_values", "referential", "completeness",
+                                                     "gap_alert", "milestone_alert")]))
+
+    # written and read back
+    q["published_risk"] = q["risk_intersection"]
+    q["exported_gap_index"] = q["gap_index"]
+    q["dedupe_in_batches"] = q["dedupe_latest"]
 
     # lookups, cohorts, summaries, submissions
     q["region_lookup"] = build("""
