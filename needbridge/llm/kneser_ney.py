@@ -45,12 +45,14 @@ BROADCAST_IDS = 4_000_000
 #: Places of the uniform distribution that unknown characters share.
 ALPHABET = 10_000
 PAD = "\x02"
-_DIGITS = {ord(c): "0" for c in "123456789"}
+_PLAIN = bytes.maketrans(b"123456789\n" + PAD.encode(), b"0" * 9 + b"  ")
 
 
 def prepared(text: str | None) -> str:
     """The text with its start marked, digits as 0 and line feeds as spaces; empty for no text."""
-    return PAD * (ORDER - 1) + text.translate(_DIGITS).replace("\n", " ").replace(PAD, " ") if text else ""
+    if not text:
+        return ""
+    return PAD * (ORDER - 1) + text.encode("utf-8", "surrogatepass").translate(_PLAIN).decode("utf-8", "surrogatepass")
 
 
 def code_points(text: str) -> np.ndarray:
@@ -93,6 +95,24 @@ def distinct_grams(texts: list[str]) -> tuple[list[str], np.ndarray]:
     return grams.tolist(), counts
 
 
+def distinct_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, code points by row) of the distinct n-grams of prepared texts, ascending by key."""
+    found = [(tk.EMPTY, np.zeros((0, ORDER), np.uint32))]
+    for start, stop in slices(texts):
+        points = code_points("".join(texts[start:stop]))
+        if len(points) >= ORDER:
+            ends = np.flatnonzero(points[ORDER - 1:] != ord(PAD))
+            keys, first = np.unique(gram_keys(points)[ends], return_index=True)
+            found.append((keys, np.lib.stride_tricks.sliding_window_view(points, ORDER)[ends[first]]))
+    return merged(found)
+
+
+def merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Union of several (keys, code points by row)."""
+    keys, first = np.unique(np.concatenate([k for k, _ in found]), return_index=True)
+    return keys, np.concatenate([p for _, p in found])[first]
+
+
 def trusted_ids(labels: DataFrame) -> DataFrame:
     """Ids that every label calls good and none calls toxic."""
     return labels.where("doc_id is not null").groupBy("doc_id").agg(
@@ -219,11 +239,14 @@ class _Chunk(NamedTuple):
     folds: list
     texts: list
 
-    def models(self) -> Iterator[tuple[str, list[str]]]:
-        """(model key, texts it scores): the model of all folds all texts, another its own fold's."""
-        yield f":{self.lang}", self.texts
-        for fold in sorted(set(self.folds) - {None}):
-            yield f"{fold}:{self.lang}", [t for t, f in zip(self.texts, self.folds) if f == fold]
+    def grams(self) -> Iterator[tuple[str, np.ndarray]]:
+        """(model key, n-grams it is asked for): a fold's model its texts', the model of all folds every text's."""
+        found = []
+        for fold in sorted(set(self.folds), key=str):
+            found.append(distinct_points([t for t, f in zip(self.texts, self.folds) if f == fold]))
+            if fold is not None:
+                yield f"{fold}:{self.lang}", found[-1][1]
+        yield f":{self.lang}", merged(found)[1]
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Chunk]:
@@ -269,13 +292,11 @@ def _keys_of(points: np.ndarray) -> np.ndarray:
 
 
 def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per chunk, model and shard: the distinct n-grams, sorted and packed."""
+    """Per chunk, model and shard: the distinct n-grams, sorted and packed.  A text is taken apart once."""
     for chunk in _chunks(batches):
-        for key, texts in chunk.models():
-            grams, _ = distinct_grams(texts)
-            if not grams:
+        for key, points in chunk.grams():
+            if not len(points):
                 continue
-            points = code_points("".join(grams)).reshape(-1, ORDER)
             shard = _shard(points[:, -1].astype(np.int64), points[:, -2].astype(np.int64))
             order = np.lexsort((*points.T[::-1], shard))
             points, shard = points[order], shard[order]
@@ -291,12 +312,12 @@ def _union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct n-grams of each model and shard; rows come ordered by these."""
     group, known, waiting, size = None, np.zeros((0, ORDER), np.uint32), [], 0
 
-    def merged() -> np.ndarray:
+    def union() -> np.ndarray:
         points = np.concatenate([known, *waiting])
         return points[np.unique(_keys_of(points), return_index=True)[1]]
 
     def rows() -> pa.RecordBatch:
-        text = merged().tobytes().decode("utf-32-le", "surrogatepass")
+        text = union().tobytes().decode("utf-32-le", "surrogatepass")
         grams = [text[i:i + ORDER] for i in range(0, len(text), ORDER)]
         return pa.RecordBatch.from_arrays([pa.array([group[0]] * len(grams), pa.string()), pa.array(grams, pa.string())],
                                           names=["lang", "gram"])
@@ -310,7 +331,7 @@ def _union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             waiting.append(_unpacked(raw))
             size += len(waiting[-1])
             if size > max(1_000_000, len(known)):
-                known, waiting, size = merged(), [], 0
+                known, waiting, size = union(), [], 0
     if group:
         yield rows()
 
@@ -464,7 +485,10 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = KEEP_QUANTILE) -
     asked = texts.join(side, F.col("doc_id") == F.col("trusted_id"), "left").select(
         "doc_id", "text", "lang", F.when(F.col("trusted_id").isNotNull(), _fold()).alias("fold"))
     asked = asked if few else materialize(asked, "asked-texts")  # a shuffle keeps no order
+    # many small splits would make many small chunks, which share few n-grams: join them to CHUNK_CHARS
+    size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     with same_splits(docs.sparkSession):
+        asked = asked.coalesce(max(2 * docs.sparkSession.sparkContext.defaultParallelism, -(-size // CHUNK_CHARS)))
         scored = materialize(perplexities(asked, tables), "perplexities")
     by_lang = scored.where("held_out is not null").groupBy("lang").agg(
         F.percentile_approx("held_out", quantile, 10_000).alias("own_threshold")).withColumnRenamed("lang", "t_lang")
