@@ -20,7 +20,7 @@ from needbridge.operators import sampling as smp
 from needbridge.operators.increment import merge_latest, read_latest
 from needbridge.plans.pipeline import mart_order, open_run, quality_suite, run_pipeline
 from needbridge.plans.stages import Stages
-from needbridge.schemas import NEED_TYPES
+from needbridge.schemas import NEED_TYPES, SAMPLE_RATES
 from needbridge.session import ensure_checkpoint_dir
 from needbridge.sources import driver
 from needbridge.sources.lookup import lookup
@@ -34,7 +34,6 @@ AS_OF = "2025-01-01"
 # busiest members take the range-chunked path, so the gate checks it.
 SPLIT_TEST_ROWS, SPLIT_TEST_CHUNKS = 8, 24
 SAMPLE_SIZE = 250
-SAMPLE_RATES = {"Low": 0.52, "Medium": 0.72, "High": 0.87, "Very High": 0.94}
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}

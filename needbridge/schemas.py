@@ -32,7 +32,6 @@ NEED_FLAGS = (
     "utility_need",
     "interpersonal_safety",
 )
-# ---------------------------------------------------------------------------
 
 S, I, B = T.StringType(), T.IntegerType(), T.BooleanType()
 
@@ -77,3 +76,7 @@ RAW_SCHEMAS = {
     "services": SERVICES,
     "renewals": RENEWALS,
 }
+
+# Share of each risk tier that the source programme screens.
+SAMPLE_RATES = {"Low": 0.52, "Medium": 0.72, "High": 0.87, "Very High": 0.94}
+# ---------------------------------------------------------------------------
