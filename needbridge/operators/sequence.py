@@ -114,7 +114,9 @@ def member_screenings(
     attributes (size-checked) and go to the range-chunked scan.  Hot
     members are found on ``counts_from`` (default: the valid screenings);
     pass the staged, not yet deduplicated screenings to make that check one
-    narrow scan with a partial aggregate.
+    narrow scan with a partial aggregate.  If there are any, the valid
+    screenings are checkpointed, so that both parts read them and the
+    deduplication before them runs once.
     """
     s = screenings.where(~c("null_date_flag") & ~c("null_member_flag"))
     m = members.select("member_id", *MEMBER_ATTRS)
@@ -122,10 +124,12 @@ def member_screenings(
     if hot_key_rows is None:
         return sequence_events(s.join(m, "member_id").select(*cols), hot_key_rows=None)
     source = (counts_from if counts_from is not None else s).select("member_id")
-    cold_s, hot_s, chunks, n_hot, keys = split_hot(s, "member_id", hot_key_rows, source)
+    _, _, chunks, n_hot, keys = split_hot(s, "member_id", hot_key_rows, source)
+    if keys is None:
+        return sequence_events(s.join(m, "member_id").select(*cols), hot_key_rows=None)
+    s = s.select("screening_id", "member_id", *SCREENING_ATTRS).checkpoint(eager=True)
+    cold_s, hot_s = s.join(keys, "member_id", "left_anti"), s.join(keys, "member_id", "left_semi")
     cold = sequence_events(cold_s.join(m, "member_id").select(*cols), hot_key_rows=None)
-    if hot_s is None:
-        return cold
     hot_members = checked_broadcast(m.join(keys, "member_id", "left_semi"), MAX_BROADCAST_KEYS)
     hot = hot_s.join(hot_members, "member_id").select(*cols)
     seq = _chunked(hot, "member_id", "screening_date", ["screening_id"], "screening_seq",

@@ -77,10 +77,12 @@ def split_hot(df: DataFrame, key: str, threshold: int,
     so the cold side keeps whatever partitioning ``df`` already has.
     The chunk count aims at about ``max(threshold, MIN_CHUNK_ROWS)`` rows
     per chunk, so a chunk of a hot key is no larger than the largest cold
-    group (or one modest task).  One small job
-    (a two-number aggregate over the hot-key list) decides all of this.
+    group (or one modest task).  The hot-key list is checkpointed, so the rows
+    it counts are computed once however often it is joined; a two-number
+    aggregate over it decides all of this.
     """
-    counts = hot_keys(counts_from if counts_from is not None else df, key, threshold)
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = hot_keys(counts_from if counts_from is not None else df, key, threshold).checkpoint(eager=True)
     stats = counts.agg(F.count(F.lit(1)).alias("k"), F.sum("__n").alias("rows")).first()
     k = int(stats["k"] or 0)
     if not k:

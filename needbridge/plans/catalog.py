@@ -85,7 +85,8 @@ def sequence_hot_split(spark, d):
     """Same as ``sequence_events`` with the busiest members range-chunked."""
     s = stages(spark, d)
     return ops.member_screenings(s.int_screenings_deduped, s.stg_members,
-                             hot_key_rows=SPLIT_TEST_ROWS, num_chunks=SPLIT_TEST_CHUNKS)
+                             hot_key_rows=SPLIT_TEST_ROWS, num_chunks=SPLIT_TEST_CHUNKS,
+                             counts_from=s.stg_screenings)
 
 
 @query

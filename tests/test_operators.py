@@ -336,3 +336,35 @@ def test_member_screenings_pre_join_hot_split_equals_plain(spark):
     plain = ops.member_screenings(s, m, hot_key_rows=None)
     split = ops.member_screenings(s, m, hot_key_rows=100, num_chunks=5)
     assert rows(plain) == rows(split)
+
+
+def test_hot_split_reads_the_screenings_once(spark):
+    n = 40
+    recs = [scr(f"S{i:02d}", "M1" if i % 2 else f"M{i}", f"2024-01-{i % 28 + 1:02d}") for i in range(n)]
+    s = ops.stage_screenings(raw(spark, "screenings", recs))
+    m = ops.stage_members(raw(spark, "members", [mem(x) for x in {r["member_id"] for r in recs}]))
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(x):
+        seen.add(1)
+        return x
+
+    watched = s.withColumn("county", F.udf(look, "string").asNondeterministic()("county"))
+    got = ops.member_screenings(watched, m, hot_key_rows=5, num_chunks=3, counts_from=s)
+    assert rows(got) == rows(ops.member_screenings(s, m, hot_key_rows=None))
+    assert seen.value == n
+
+
+def test_hot_keys_are_counted_once(spark):
+    from needbridge.operators.skew import split_hot
+
+    ev, seen = _random_events(spark, n=300), spark.sparkContext.accumulator(0)
+
+    def look(x):
+        seen.add(1)
+        return x
+
+    counted = ev.withColumn("member_id", F.udf(look, "string").asNondeterministic()("member_id"))
+    split = split_hot(ev, "member_id", 50, counted.select("member_id"))
+    assert split.cold.count() + split.hot.count() == 300
+    assert seen.value == 300
