@@ -32,23 +32,41 @@ BROADCAST_LINES = 2_000_000
 SPACE = " \t\r\n\x0b\x0c"
 
 
+def with_words(lines: DataFrame) -> DataFrame:
+    """``lines`` that hold words, with ``w``: their words, a column of its own to be made once."""
+    trimmed = F.btrim("line", F.lit(SPACE))
+    return lines.where(trimmed != "").withColumn("w", F.split(F.lower(trimmed), r"\s+"))
+
+
 def with_hashes(lines: DataFrame) -> DataFrame:
     """``lines`` that hold words, with ``h``: the hashes of their words, a column of its own to be made once."""
-    trimmed = F.btrim("line", F.lit(SPACE))
-    return lines.where(trimmed != "").withColumn(
-        "h", F.transform(F.split(F.lower(trimmed), r"\s+"), lambda w: F.xxhash64(w)))
+    return with_words(lines).withColumn("h", F.transform("w", lambda w: F.xxhash64(w))).drop("w")
+
+
+def starts(words: str) -> Column:
+    return F.sequence(F.lit(0), F.greatest(F.size(words) - WIDTH, F.lit(0)))
 
 
 def shingles() -> Column:
     """Hashes of the runs of WIDTH words (of all words, if they are fewer: missing ones add nothing), in text order."""
-    starts = F.sequence(F.lit(0), F.greatest(F.size("h") - WIDTH, F.lit(0)))
-    return F.transform(starts, lambda i: F.xxhash64(*[F.get(F.col("h"), i + j) for j in range(WIDTH)]))
+    return F.transform(starts("h"), lambda i: F.xxhash64(*[F.get(F.col("h"), i + j) for j in range(WIDTH)]))
+
+
+def exploded_shingles(lines: DataFrame) -> DataFrame:
+    """(s): ``shingles`` of all ``lines``, a row each.
+
+    Hashed from the words beside the exploded place, which Spark compiles;
+    functions over arrays call their lambda for each element.
+    """
+    words = [F.get("w", F.col("i") + j) for j in range(WIDTH)]
+    return with_words(lines).select("w", F.explode(starts("w")).alias("i")).select(
+        F.xxhash64(*[F.when(w.isNotNull(), F.xxhash64(w)) for w in words]).alias("s"))
 
 
 def rarity(docs: DataFrame) -> Column:
     """Class (the higher, the more common) of each hash bucket of shingles, from the counts of all shingles."""
     bucket = F.pmod(F.col("s"), F.lit(BUCKETS)).cast("int")
-    counted = (with_hashes(lines_of(docs)).select(F.explode(shingles()).alias("s"))
+    counted = (exploded_shingles(lines_of(docs))
                .groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")).collect())
     classes = [0] * BUCKETS
     for r in counted:

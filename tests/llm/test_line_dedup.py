@@ -1,6 +1,8 @@
 import random
 
 from llm_docs import docs
+from pyspark.sql import functions as F
+
 from needbridge.llm import line_dedup as ld
 
 
@@ -63,6 +65,15 @@ def test_drop_lines(spark):
     assert all(r.n_chars == len(r.text or "") for r in rows)
 
 
+def test_counted_shingles_are_those_of_the_keys(spark):
+    lines = ld.lines_of(docs(spark, corpus()))
+    arrays = ld.with_hashes(lines).select(F.explode(ld.shingles()).alias("s"))
+    rows = ld.exploded_shingles(lines)
+    assert sorted(r.s for r in rows.collect()) == sorted(r.s for r in arrays.collect())
+    # no lambda is called for each word
+    assert "lambda" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_empty_table(spark):
     assert ld.removed_lines(docs(spark, [])).collect() == []
     assert ld.drop_lines(docs(spark, [])).collect() == []
