@@ -11,9 +11,10 @@ all pieces is one windowed rank and one join with the bounded slot table.
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,21 @@ PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 #: Marks of special tokens and letters whose lower case hangs on their context.
-_ODD = re.compile("<\\||[\u03a3\u0130]").search
+_ODD = ("<|", "\u03a3", "\u0130")
+
+
+class _ChunkIds(dict):
+    """Ids of chunks as bytes; a missing chunk is encoded and kept."""
+
+    def __init__(self, ids_of: Callable[[str], bytes]):
+        self.ids_of = ids_of
+
+    def __missing__(self, chunk: str) -> bytes:
+        got = self.ids_of(chunk) if chunk else b""
+        if len(self) >= CACHED_CHUNKS:
+            self.clear()
+        self[chunk] = got
+        return got
 
 
 class ChunkEncoder:
@@ -46,41 +61,33 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
-        self.plain = re.compile(r"[a-z]+").fullmatch
+        self.cache = _ChunkIds(self._ids)
+        self.word = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([!-&(-/:;=-@\\[-`{-~]*)").fullmatch
+        letters = [chr(c) for c in range(0xdf, 0x100) if c != 0xf7]
+        self.spelled = str.maketrans({c: self.tok.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters})
 
     def _ids(self, chunk: str) -> bytes:
-        if self.plain(chunk):  # one word of the model, nothing to normalise or split
-            ids = [t.id for t in self.tok.model.tokenize(chunk)]
+        word = self.word(chunk)
+        if word:  # small Latin letters, nothing to normalise; marks after them are split off (an apostrophe may not be)
+            letters, marks = word.groups()
+            if marks:
+                return self.cache[letters] + self.cache[marks]
+            ids = [t.id for t in self.tok.model.tokenize(letters if letters.isascii() else letters.translate(self.spelled))]
         elif chunk[-1:] in (".", ",") and unicodedata.normalize("NFC", chunk[:-1].lower()).isalpha():
             # all letters after lowering too: a mark that lowering leaves joins the punctuation after it
-            return self.ids(chunk[:-1]) + self.ids(chunk[-1])
+            return self.cache[chunk[:-1]] + self.cache[chunk[-1]]
         elif chunk.isalpha() and chunk.islower() and unicodedata.is_normalized("NFC", chunk):
             ids = [t.id for piece, _ in self.tok.pre_tokenizer.pre_tokenize_str(chunk)
                    for t in self.tok.model.tokenize(piece)]
         else:
             ids = self.tok.encode(chunk, add_special_tokens=False).ids
-        return np.asarray(ids, np.uint32).tobytes()
-
-    def ids(self, chunk: str) -> bytes:
-        got = self.cache.get(chunk)
-        if got is None:
-            if len(self.cache) >= CACHED_CHUNKS:
-                self.cache.clear()
-            got = self.cache[chunk] = self._ids(chunk)
-        return got
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        if not _ODD(text) and unicodedata.is_normalized("NFC", text):
+        if not any(odd in text for odd in _ODD) and unicodedata.is_normalized("NFC", text):
             text = text.lower()  # the normaliser lowers too; more chunks are then equal
-        get, out = self.cache.get, []
-        for line in text.split("\n"):
-            for chunk in line.split(" "):
-                if chunk:
-                    got = get(chunk)
-                    out.append(self.ids(chunk) if got is None else got)
-        return b"".join(out)
+        return b"".join(map(self.cache.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}

@@ -25,6 +25,19 @@ def test_encoder_equals_the_tokenizer():
         assert np.frombuffer(enc.encode(text or ""), np.uint32).tolist() == want, text
 
 
+def test_words_with_marks_are_encoded_by_their_parts():
+    tok, enc = Tokenizer.from_file(PATH), packing.ChunkEncoder(PATH)
+    chunks = ["straße&&&", "été.###", "words!?", "a|b_", "über[x]", "naïve", "ÿ;", "x...", "ab=c", "l'été", "on's.", "o<|", "$$$"]
+    whole = []
+    enc.tok = type("Spy", (), {"model": tok.model, "pre_tokenizer": tok.pre_tokenizer, "encode": lambda _, c, **k: (
+        whole.append(c), tok.encode(c, **k))[1]})()
+    for text in ["Straße&&& Été.### words!? naïve ÿ; x...", *chunks]:
+        want = tok.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(enc.encode(text), np.uint32).tolist() == want, text
+    # letters, and marks without letters once, never a word with its marks
+    assert not {"straße&&&", "été.###", "words!?"} & set(whole)
+
+
 @settings(max_examples=3000, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from("aBcé İΣσßﬁ.,;'-\u0301\u0307文日1 \n<|endoftext>"), st.characters(
     codec="utf-8")), max_size=24))
