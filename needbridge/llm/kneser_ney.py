@@ -14,7 +14,8 @@ of the other folds, whose counts are all counts minus the fold's.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from typing import NamedTuple
 
@@ -40,6 +41,8 @@ CHUNK_CHARS = 24_000_000
 SHARDS = 64
 #: Characters that a task turns into n-gram keys at once.
 SLICE_CHARS = 1_000_000
+#: Characters that a task scores at once, beside the answers of its chunk.
+SCORE_CHARS = 250_000
 #: Trusted ids are broadcast up to this many (8 bytes each); beyond it they are joined by shuffle.
 BROADCAST_IDS = 4_000_000
 #: Places of the uniform distribution that unknown characters share.
@@ -64,12 +67,13 @@ def gram_keys(points: np.ndarray) -> np.ndarray:
     return tk.windows(points.astype(np.uint64), ORDER)
 
 
-def slices(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """(from, to) of runs of texts that hold about SLICE_CHARS characters."""
+def slices(sizes: Iterable[int], chars: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
+    """(from, to) of runs of texts of these sizes that hold about so many characters."""
+    sizes = list(sizes)
     start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= SLICE_CHARS or i == len(texts) - 1:
+    for i, n in enumerate(sizes):
+        size += n
+        if size >= chars or i == len(sizes) - 1:
             yield start, i + 1
             start, size = i + 1, 0
 
@@ -77,7 +81,7 @@ def slices(texts: list[str]) -> Iterator[tuple[int, int]]:
 def distinct_grams(texts: list[str]) -> tuple[list[str], np.ndarray]:
     """(n-grams, counts) of prepared texts; n-grams that end in a start mark are none."""
     keys, grams, counts = tk.EMPTY, np.zeros(0, object), np.zeros(0, np.int64)
-    for start, stop in slices(texts):
+    for start, stop in slices(map(len, texts)):
         joined = "".join(texts[start:stop])
         points = code_points(joined)
         if len(points) < ORDER:
@@ -98,7 +102,7 @@ def distinct_grams(texts: list[str]) -> tuple[list[str], np.ndarray]:
 def distinct_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(keys, code points by row) of the distinct n-grams of prepared texts, ascending by key."""
     found = [(tk.EMPTY, np.zeros((0, ORDER), np.uint32))]
-    for start, stop in slices(texts):
+    for start, stop in slices(map(len, texts)):
         points = code_points("".join(texts[start:stop]))
         if len(points) >= ORDER:
             ends = np.flatnonzero(points[ORDER - 1:] != ord(PAD))
@@ -231,49 +235,96 @@ def gram_log_probs(grams: DataFrame, tables: tuple) -> DataFrame:
 
 
 class _Chunk(NamedTuple):
-    """A task's documents of one language: number, language, ids, folds (of the trusted), prepared texts."""
+    """A task's documents of one language: number, language, ids, folds (of the trusted), sizes, what was made of their texts."""
 
     number: int
     lang: str
     ids: list
     folds: list
-    texts: list
+    sizes: list
+    parts: list
 
-    def grams(self) -> Iterator[tuple[str, np.ndarray]]:
-        """(model key, n-grams it is asked for): a fold's model its texts', the model of all folds every text's."""
-        found = []
-        for fold in sorted(set(self.folds), key=str):
-            found.append(distinct_points([t for t, f in zip(self.texts, self.folds) if f == fold]))
-            if fold is not None:
-                yield f"{fold}:{self.lang}", found[-1][1]
-        yield f":{self.lang}", merged(found)[1]
 
-
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Chunk]:
+def _chunks(batches: Iterator[pa.RecordBatch], chars: int, work: Callable[[list, list, list], None]) -> Iterator[_Chunk]:
     """A task's documents by language, cut at CHUNK_CHARS.
 
+    ``work(parts, texts, folds)`` takes up the prepared texts of each run of about ``chars``
+    characters, so that no chunk's texts are held together.
     Both passes over the documents cut alike, since a task reads its rows in file order.
     """
     first = TaskContext.get().partitionId() << 32
-    held: dict[str, tuple[list, list, list, list]] = {}
+    held: dict[str, tuple[list, list, list, list, list]] = {}
+    size: Counter[str] = Counter()  # of the texts not yet taken up
+    whole: Counter[str] = Counter()  # of the chunk
+
+    def flush(lang: str) -> None:
+        _, folds, _, parts, texts = held[lang]
+        if texts:
+            work(parts, texts, folds[-len(texts):])
+            texts.clear()
+        size[lang] = 0
+
     for batch in batches:
-        rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "lang", "fold")), batch.column("text"))
+        rows = zip(*(batch.column(c) for c in ("doc_id", "lang", "fold", "text")))
         for doc_id, lang, fold, text in rows:
-            ids, folds, texts, size = held.setdefault(lang, ([], [], [], [0]))
-            text = prepared(text.as_py())
-            ids.append(doc_id)
-            folds.append(fold)
+            lang, text = lang.as_py(), prepared(text.as_py())
+            ids, folds, sizes, parts, texts = held.setdefault(lang, ([], [], [], [], []))
+            ids.append(doc_id.as_py())
+            folds.append(fold.as_py())
+            sizes.append(len(text))
             texts.append(text)
-            size[0] += len(text)
-            if size[0] >= CHUNK_CHARS:
-                del held[lang]
-                yield _Chunk(first, lang, ids, folds, texts)
+            size[lang] += len(text)
+            whole[lang] += len(text)
+            if size[lang] >= chars:
+                flush(lang)
+            if whole[lang] >= CHUNK_CHARS:
+                flush(lang)
+                yield _Chunk(first, lang, ids, folds, sizes, parts)
+                del held[lang], whole[lang]
                 first += 1
     for lang in sorted(held):
-        yield _Chunk(first, lang, *held[lang][:3])
+        flush(lang)
+        yield _Chunk(first, lang, *held[lang][:4])
         first += 1
 
 
+class _Grams(NamedTuple):
+    """Distinct n-grams of a fold's texts so far: (keys, points) known, and those found since."""
+
+    known: list
+    new: list
+
+    def add(self, found: tuple[np.ndarray, np.ndarray]) -> None:
+        self.new.append(found)
+        if sum(len(k) for k, _ in self.new) > sum(len(k) for k, _ in self.known):
+            self.union()
+
+    def union(self) -> tuple[np.ndarray, np.ndarray]:
+        self.known[:] = [merged([*self.known, *self.new])]
+        self.new.clear()
+        return self.known[0]
+
+
+def _take_grams(parts: list, texts: list, folds: list) -> None:
+    by_fold = parts[0] if parts else parts.append({}) or parts[0]
+    for fold in set(folds):
+        by_fold.setdefault(fold, _Grams([], [])).add(distinct_points([t for t, f in zip(texts, folds) if f == fold]))
+
+
+def _asked_grams(chunk: _Chunk) -> Iterator[tuple[str, np.ndarray]]:
+    """(model key, n-grams it is asked for): a fold's model its texts', the model of all folds every text's."""
+    found = []
+    for fold, grams in sorted(chunk.parts[0].items(), key=lambda x: str(x[0])):
+        found.append(grams.union())
+        if fold is not None:
+            yield f"{fold}:{chunk.lang}", found[-1][1]
+    yield f":{chunk.lang}", merged(found)[1]
+
+
+def _take_packed(parts: list, texts: list, folds: list) -> None:
+    parts.append(zstandard.ZstdCompressor(3).compress("".join(texts).encode("utf-8", "surrogatepass")))
+
+
 def _shard(last: F.Column | np.ndarray, before: F.Column | np.ndarray) -> F.Column | np.ndarray:
     """Shard of an n-gram, from the code points of its last two characters."""
     return (last * 31 + before) % SHARDS
@@ -293,8 +344,8 @@ def _keys_of(points: np.ndarray) -> np.ndarray:
 
 def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per chunk, model and shard: the distinct n-grams, sorted and packed.  A text is taken apart once."""
-    for chunk in _chunks(batches):
-        for key, points in chunk.grams():
+    for chunk in _chunks(batches, SLICE_CHARS, _take_grams):
+        for key, points in _asked_grams(chunk):
             if not len(points):
                 continue
             shard = _shard(points[:, -1].astype(np.int64), points[:, -2].astype(np.int64))
@@ -369,24 +420,36 @@ def _found(known: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarr
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Log-probabilities of each row's n-grams, in their order."""
+    """Log-probabilities of each asked row's n-grams, in their order.
+
+    Rows come ordered by model and shard, each shard's answers before those who
+    ask: the answers are held once a shard, not joined to every chunk.  What has no
+    answers (a language without a model) gets none.
+    """
+    group, known, values = None, tk.EMPTY, np.zeros(0, np.float32)
     for batch in batches:
-        out = []
-        for grams, keys, logps in zip(*(batch.column(c).to_pylist() for c in ("grams", "keys", "logps"))):
-            out.append(_found(np.frombuffer(keys, np.uint64), np.frombuffer(logps, np.float32),
-                              _keys_of(_unpacked(grams))).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("lang"), batch.column("grams"),
-                                          pa.array(out, pa.binary())], names=["a_chunk", "a_lang", "grams", "logps"])
+        chunk, lang, grams, out = [], [], [], []
+        for row in zip(*(batch.column(c) for c in ("lang", "shard", "chunk", "grams", "keys", "logps"))):
+            own, of = (row[0].as_py(), row[1].as_py()), row[2].as_py()
+            if of is None:
+                group, known, values = own, *(np.frombuffer(c.as_py(), t) for c, t in zip(row[4:], (np.uint64, np.float32)))
+            elif own == group:
+                chunk.append(of)
+                lang.append(own[0])
+                grams.append(row[3].as_py())
+                out.append(_found(known, values, _keys_of(_unpacked(grams[-1]))).tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(chunk, pa.int64()), pa.array(lang, pa.string()), pa.array(grams, pa.binary()), pa.array(out, pa.binary())],
+            names=["a_chunk", "a_lang", "grams", "logps"])
 
 
 def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for chunk in _chunks(batches):
-        sizes = np.asarray([len(t) for t in chunk.texts], np.int64).tobytes()
-        packed = zstandard.ZstdCompressor(3).compress("".join(chunk.texts).encode("utf-8", "surrogatepass"))
+    for chunk in _chunks(batches, SCORE_CHARS, _take_packed):
+        sizes, packed = np.asarray(chunk.sizes, np.int64), chunk.parts
         yield pa.RecordBatch.from_arrays(
             [pa.array([chunk.number], pa.int64()), pa.array([chunk.lang], pa.string()),
              pa.array([chunk.ids], pa.list_(pa.int64())), pa.array([chunk.folds], pa.list_(pa.string())),
-             pa.array([sizes], pa.binary()), pa.array([packed], pa.binary())],
+             pa.array([sizes.tobytes()], pa.binary()), pa.array([packed], pa.list_(pa.binary()))],
             names=["chunk", "lang", "ids", "folds", "sizes", "packed"])
 
 
@@ -396,17 +459,15 @@ def _score(chunk: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
     for key, rows in answer.groupby("a_lang"):
         keys = np.concatenate([_keys_of(_unpacked(g)) for g in rows["grams"]])
         order = np.argsort(keys)
-        tables[key] = keys[order], np.concatenate([np.frombuffer(v, np.float32) for v in rows["logps"]])[order].astype(np.float64)
+        tables[key] = keys[order], np.concatenate([np.frombuffer(v, np.float32) for v in rows["logps"]])[order]
     out = []
     for row in chunk.itertuples():
         sizes, folds = np.frombuffer(row.sizes, np.int64), np.asarray(list(row.folds), object)
         value = {"perplexity": np.full(len(sizes), np.nan), "held_out": np.full(len(sizes), np.nan)}
-        text = zstandard.ZstdDecompressor().decompress(row.packed).decode("utf-8", "surrogatepass") if tables else ""
-        stops = np.cumsum(sizes)
-        texts = [text[b - n:b] for b, n in zip(stops, sizes)] if text else []
-        for start, stop in slices(texts):
+        # one slice is unpacked at a time
+        for packed, (start, stop) in zip(row.packed, slices(sizes.tolist() if tables else [], SCORE_CHARS)):
             own, of = sizes[start:stop], folds[start:stop]
-            points = code_points("".join(texts[start:stop]))
+            points = code_points(zstandard.ZstdDecompressor().decompress(packed).decode("utf-8", "surrogatepass"))
             if len(points) < ORDER:
                 continue
             ends = np.flatnonzero(points[ORDER - 1:] != ord(PAD))
@@ -455,11 +516,14 @@ def perplexities(texts: DataFrame, tables: tuple) -> DataFrame:
         _union, "lang string, gram string")
     shard = _shard(F.ascii(F.substring("gram", ORDER, 1)), F.ascii(F.substring("gram", ORDER - 1, 1))).cast("int")
     told = materialize(gram_log_probs(distinct, tables).where("logp is not null").withColumn("shard", shard).repartition(
-        SHARDS, "lang", "shard").sortWithinPartitions("lang", "shard").mapInArrow(
+        "lang", "shard").sortWithinPartitions("lang", "shard").mapInArrow(
         _tell, "lang string, shard int, keys binary, logps binary"), "told")
-    answers = asked.join(told, ["lang", "shard"]).mapInArrow(
+    asking = asked.select("lang", "shard", "chunk", "grams", *[F.lit(None).cast("binary").alias(c) for c in ("keys", "logps")])
+    telling = told.select("lang", "shard", F.lit(None).cast("long").alias("chunk"), F.lit(None).cast("binary").alias("grams"),
+                          "keys", "logps")
+    answers = asking.union(telling).repartition("lang", "shard").sortWithinPartitions("lang", "shard", "chunk").mapInArrow(
         _answer, "a_chunk long, a_lang string, grams binary, logps binary")
-    sent = texts.mapInArrow(_send, "chunk long, lang string, ids array<long>, folds array<string>, sizes binary, packed binary")
+    sent = texts.mapInArrow(_send, "chunk long, lang string, ids array<long>, folds array<string>, sizes binary, packed array<binary>")
     scored = sent.groupBy("chunk").cogroup(answers.groupBy("a_chunk")).applyInPandas(
         _score, "doc_id long, lang string, perplexity double, held_out double")
     null = F.lit(None).cast("double")

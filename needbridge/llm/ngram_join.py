@@ -54,6 +54,14 @@ def shingles_of(text: str | None, width: int = WIDTH) -> np.ndarray:
     return tk.shingle_set(tk.word_hashes((text or "").encode().lower().split()), width)
 
 
+def repeated(keys: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, counts) of those that occur at least so often; ``keys`` is sorted in place, so that it is not copied."""
+    keys.sort()
+    upto = max(0, len(keys) - least + 1)
+    many = np.unique(keys[:upto][keys[least - 1:] == keys[:upto]])
+    return many, np.searchsorted(keys, many, "right") - np.searchsorted(keys, many, "left")
+
+
 def common_shingles(docs: DataFrame, width: int, keep: int) -> tuple[np.ndarray, np.ndarray]:
     """(sorted keys, counts) of the most common shingles.
 
@@ -63,11 +71,10 @@ def common_shingles(docs: DataFrame, width: int, keep: int) -> tuple[np.ndarray,
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h = [tk.word_hashes((t.as_py() or "").encode().lower().split()) for t in batch.column(0)]
-            keys, n = np.unique(np.concatenate([tk.windows(x, width) for x in h] or [tk.EMPTY]), return_counts=True)
-            many = n >= MIN_IN_BATCH
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[many].view(np.int64)), pa.array(n[many].astype(np.int64))], names=["k", "n"])
+            keys, n = repeated(np.concatenate([
+                tk.windows(tk.word_hashes((t.as_py() or "").encode().lower().split()), width)
+                for t in batch.column(0)] or [tk.EMPTY]), MIN_IN_BATCH)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["k", "n"])
 
     top = (docs.select("text").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "k").limit(keep).toPandas())

@@ -2,6 +2,9 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from llm_docs import DOC_SCHEMA
 from needbridge.llm import kneser_ney as kn
 
@@ -150,3 +153,71 @@ def test_executors_may_change_between_the_passes(spark, monkeypatch, tmp_path):
         spark.conf.unset(cores)
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert got == want
+
+
+def test_answers_of_a_shard_come_once_however_many_chunks_ask():
+    points = np.array([[97, 98, 99, 100], [97, 98, 99, 101]], np.uint32)
+    keys = kn._keys_of(points)
+    order = np.argsort(keys)
+    told = (keys[order].tobytes(), np.array([-1.0, -2.0], np.float32)[order].tobytes())
+    rows = [(":en", 3, None, None, *told)]
+    rows += [(":en", 3, i, kn._packed(points[i % 2:]), None, None) for i in range(50)]
+    rows += [(":en", 4, None, None, keys[:1].tobytes(), np.array([-3.0], np.float32).tobytes()),
+             (":en", 4, 7, kn._packed(points[:1]), None, None),
+             (":xx", 4, 8, kn._packed(points[:1]), None, None)]  # a language without a model
+    names = ["lang", "shard", "chunk", "grams", "keys", "logps"]
+    kinds = [pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[i:i + 20]), kinds)], names=names)
+               for i in range(0, len(rows), 20)]
+    assert sum(r[4] is not None for r in rows) == 2
+    got = [r for b in kn._answer(iter(batches)) for r in b.to_pylist()]
+    assert [(r["a_chunk"], r["a_lang"]) for r in got] == [(i, ":en") for i in [*range(50), 7]]
+    for r in got[:50]:
+        assert np.frombuffer(r["logps"], np.float32).tolist() == [-1.0, -2.0][r["a_chunk"] % 2:]
+    assert np.frombuffer(got[50]["logps"], np.float32).tolist() == [-3.0]
+
+
+def test_no_join_copies_the_answers_to_every_chunk(spark, monkeypatch):
+    rows, labels = corpus()
+    docs = spark.createDataFrame(rows, DOC_SCHEMA)
+    seen, plain = [], kn.perplexities
+
+    def planned(texts, tables):
+        seen.append(plain(texts, tables))
+        return seen[-1]
+
+    monkeypatch.setattr(kn, "perplexities", planned)
+    kn.judge(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "_answer" in plan and "Join" not in plan[plan.index("_answer"):]
+
+
+def test_a_chunk_holds_no_texts_together_and_scores_the_same(monkeypatch):
+    monkeypatch.setattr(kn, "TaskContext", type("T", (), {"get": lambda: type("C", (), {"partitionId": lambda _: 0})()}))
+    texts = ["abcab", "", "the of tion", "a", "été"]
+    folds = [None, "1", "1", None, "0"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3, 4, 5], "lang": ["en"] * 5, "fold": folds, "text": texts})
+    got, asked = [], []
+    for chars in (4, 1000):
+        most = []
+        monkeypatch.setattr(kn, "SCORE_CHARS", chars)
+        monkeypatch.setattr(kn, "SLICE_CHARS", chars)
+        list(kn._chunks(iter([batch]), chars, lambda parts, texts, folds: most.append((len(texts), len(folds)))))
+        asked.append({r["lang"]: b"".join(kn._unpacked(x["grams"]).tobytes() for x in rows if x["lang"] == r["lang"])
+                      for rows in [[x for b in kn._ask(iter([batch])) for x in b.to_pylist()]] for r in rows})
+        sent = next(kn._send(iter([batch]))).to_pandas()
+        answer = pd.DataFrame([{"a_lang": k, "grams": kn._packed(np.frombuffer(v, np.uint32).reshape(-1, kn.ORDER)),
+                                "logps": np.linspace(-3, -1, len(v) // 16).astype(np.float32).tobytes()}
+                               for k, v in asked[0].items()])
+        got.append((len(sent["packed"][0]), kn._score(sent, answer)))
+        assert most == ([(1, 1), (2, 2), (1, 1), (1, 1)] if chars == 4 else [(5, 5)])
+    assert set(asked[0]) == {":en", "0:en", "1:en"} and asked[0] == asked[1]
+    assert got[0][0] > got[1][0] == 1
+    pd.testing.assert_frame_equal(got[0][1], got[1][1])
+    assert got[0][1]["perplexity"].notna().tolist() == [bool(t) for t in texts]
+    assert got[0][1]["held_out"].notna().tolist() == [bool(t) and f is not None for t, f in zip(texts, folds)]
+
+
+def test_slices():
+    assert list(kn.slices([3, 0, 2], 3)) == [(0, 1), (1, 3)]
+    assert list(kn.slices([])) == []

@@ -104,3 +104,13 @@ def test_components_of_a_long_path(spark):
     got = components(spark.createDataFrame(edges, "a long, b long"), "t").collect()
     want = {(i, 0) for i in ids} | {(500, 400), (400, 400)}
     assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
+def test_repeated_keys_are_counted_in_place():
+    rnd = np.random.default_rng(3)
+    for size in (0, 1, 3, 4, 5, 500):
+        keys = rnd.integers(0, max(1, size // 4), size).astype(np.uint64)
+        want, n = np.unique(keys, return_counts=True)
+        got, m = nj.repeated(keys, 4)
+        assert got.tolist() == want[n >= 4].tolist() and m.tolist() == n[n >= 4].tolist()
+        assert m.dtype == np.int64 and keys.tolist() == sorted(keys.tolist())
