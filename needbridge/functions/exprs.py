@@ -29,8 +29,20 @@ def safe_date(c: str | Column) -> Column:
     '2024/04/01'; the reference accepts the latter and rejects the former.
     So: trim, require a full y-m-d (with one repeated separator), rebuild it
     as ISO, and only then cast.  A trailing time part must be a valid time.
+
+    Ten characters with '-' in the ISO places and a digit at the end are cast
+    at once: that cast rejects what the pattern rejects.  All else is matched
+    in a lambda, which keeps five pattern calls a date out of the compiled row
+    loop.
     """
     s = F.trim(as_col(c))
+    day_end = F.substring(s, 10, 1)
+    iso = ((F.length(s) == 10) & (F.substring(s, 5, 1) == "-") & (F.substring(s, 8, 1) == "-")
+           & (day_end >= "0") & (day_end <= "9"))
+    return F.when(iso, s.try_cast("date")).otherwise(F.get(F.transform(F.array(s), _written_date), F.lit(0)))
+
+
+def _written_date(s: Column) -> Column:
     ok = s.rlike(_DATE_TEXT)
     ymd = F.concat_ws(
         "-",

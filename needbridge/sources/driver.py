@@ -168,8 +168,8 @@ def services(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     c = c.join(_geo(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
-    df = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        c, F.col("o_custkey") == F.col("c_custkey"))
+    # orders meet their customer first: a line item is shuffled once, by its order
+    df = li.join(o.join(c, F.col("o_custkey") == F.col("c_custkey")), F.col("l_orderkey") == F.col("o_orderkey"))
     k, p, s, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     days = p % 90 + 1
     offset = F.when(ln == 1, days).otherwise(s % 90 + 1).cast("int")

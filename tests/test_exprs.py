@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from needbridge.functions import (
     allow_list, allow_list_violation, pct, round_half_even, row_sum_flags, safe_date, tier, trim_spaces)
+from needbridge.functions.exprs import _written_date
 
 GOOD = ["2024-04-01", "2024-4-1", " 2024-04-01 ", "2024-04-01 10:00:00", "2024/04/01",
         "2024-04-01T10:00:00Z", "2024 04 01", "2024-04-01T10:00", "2024-04-01 10:00:00.123456",
@@ -25,6 +26,23 @@ def test_safe_date_fixture_rows(spark):
         assert got[s] is None, s
 
 
+def test_safe_date_of_ten_characters_is_what_the_pattern_gives(spark):
+    odd = ["2024-04-01", "2024-02-30", "2024-13-01", "0000-01-01", "2024-01-1T", "2024-01-1 ", "2024-01-1\n", "2024-01-1\t",
+           "+123-01-01", "-123-01-01", "2024-1-011", "2024-1 -01", "2024-01- 1", "2024-01-T1", "202a-01-01", "2024/01-01",
+           "2024-01/01", "2024 01 01", "2024-01-0\u0661", "\t123-01-01", "99999-1-01", "2024-1--01", "9999-12-31", "----------"]
+    df = spark.createDataFrame([(s,) for s in odd], "s string")
+    for r in df.select("s", safe_date("s").cast("string").alias("d"), _written_date(F.trim("s")).cast("string").alias("want")).collect():
+        assert r["d"] == r["want"], r
+
+
+def test_safe_date_of_iso_dates_runs_no_pattern(spark):
+    """The patterns stand behind a lambda, so the compiled row loop holds none."""
+    df = spark.createDataFrame([("2024-04-01",)], "s string").select(safe_date("s").alias("d"))
+    code = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$").codegenString(
+        df._jdf.queryExecution().executedPlan())
+    assert "regex" not in code.split("Generated code:", 1)[1].lower()
+
+
 def test_safe_date_agrees_with_sql_engine(spark):
     con = duckdb.connect()
     samples = GOOD + [b for b in BAD if b is not None] + ["1997/05/28", "2023-12-31 23:59:59",

@@ -126,3 +126,22 @@ def test_quality_suite_row_rules_share_a_scan(stages):
     s = stages()
     p = plan(ru.profile(s.stg_screenings, stage_rules()["stg_screenings"], "staging", "stg_screenings"))
     assert len(scans(p, "screenings")) == 1 and p.count("partial_avg") + p.count("partial_count") >= 3
+
+
+def test_line_items_are_shuffled_once_for_services(spark):
+    """Orders meet their customer before the line items, so the longest table goes through one exchange."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = plan(driver.services(spark, SF_SMALL)).split("\n")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    at = next(i for i, ln in enumerate(lines) if "FileScan parquet" in ln and "lineitem.parquet" in ln)
+    depth = [re.search(r"[A-Za-z(*]", ln).start() if re.search(r"[A-Za-z(*]", ln) else 0 for ln in lines]
+    above, low = 0, depth[at]
+    for i in range(at - 1, -1, -1):  # the scan's ancestors
+        if depth[i] < low:
+            low, above = depth[i], above + (" Exchange hashpartitioning" in " " + lines[i][depth[i]:])
+    assert above == 1
