@@ -130,11 +130,20 @@ def test_quality_suite_row_rules_share_a_scan(stages):
 
 def test_line_items_are_shuffled_once_for_services(spark):
     """Orders meet their customer before the line items, so the longest table goes through one exchange."""
+    root = tempfile.mkdtemp(prefix="nb-plan-")
+    for name, cols in {
+        "nation": "0L n_nationkey, 'N' n_name, 0L n_regionkey",
+        "region": "0L r_regionkey, 'R' r_name",
+        "customer": "1L c_custkey, 0L c_nationkey",
+        "orders": "1L o_orderkey, 1L o_custkey, date'1997-01-01' o_orderdate",
+        "lineitem": "1L l_orderkey, 1L l_partkey, 1L l_suppkey, 1 l_linenumber",
+    }.items():
+        spark.sql(f"select {cols}").write.parquet(f"{root}/{name}.parquet")
     before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        lines = plan(driver.services(spark, SF_SMALL)).split("\n")
+        lines = plan(driver.services(spark, root)).split("\n")
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
